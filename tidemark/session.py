@@ -27,3 +27,10 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings to a session somebody else built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
