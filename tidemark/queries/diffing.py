@@ -33,13 +33,13 @@ RUN_TS = datetime(2024, 1, 16, 3, 0)
 def _lake_customers(spark, sf_dir):
     """Customers as the lake has them: one segment is lost, suppliers' keys were added."""
     kept = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'MACHINERY'").select("c_custkey")
-    count = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).scalar()
+    count = table(spark, sf_dir, "customer").agg(F.max("c_custkey") + 1).scalar()
     return kept.unionByName(table(spark, sf_dir, "supplier").select((F.col("s_suppkey") + count).alias("c_custkey")))
 
 
 LAKE_KEYS = """
 SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY'
-UNION ALL SELECT s_suppkey + (SELECT MAX(c_custkey) FROM customer) FROM supplier
+UNION ALL SELECT s_suppkey + (SELECT MAX(c_custkey) + 1 FROM customer) FROM supplier
 """
 COMPARED = f"""
 SELECT COALESCE(s.k, t.k) AS c_custkey,

@@ -134,10 +134,10 @@ def last_page_query(spark, sf_dir):
     return last_page(_pages(spark, sf_dir))
 
 
-@query("page_slice", "SELECT event_id, user_id FROM events ORDER BY ts, event_id LIMIT 1000 OFFSET 2000")
+@query("page_slice", "SELECT event_id, user_id FROM events ORDER BY ts, event_id LIMIT 250 OFFSET 500")
 def page_slice_query(spark, sf_dir):
     """The third page of the ordered set: paging is the feature."""
-    return page_slice(events(spark, sf_dir), ["ts", "event_id"], 2000).select("event_id", "user_id")
+    return page_slice(events(spark, sf_dir), ["ts", "event_id"], 500, 250).select("event_id", "user_id")
 
 
 @query("row_pages", "SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1) // 1000 AS page FROM events")

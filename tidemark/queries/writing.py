@@ -51,9 +51,10 @@ def append_evolve_roundtrip(spark, sf_dir):
 @query(
     "partition_overwrite_roundtrip",
     """
-SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y%m') AS date FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
-UNION ALL
-SELECT o_orderkey, 'new', strftime(o_orderdate, '%Y%m') FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus = 'F'
+WITH monthly AS (SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y%m') AS date FROM orders),
+     later AS (SELECT * FROM monthly WHERE date >= '199801' AND o_orderstatus = 'F')
+SELECT * FROM monthly WHERE date NOT IN (SELECT date FROM later)
+UNION ALL SELECT o_orderkey, 'new', date FROM later
 """,
 )
 def partition_overwrite_roundtrip(spark, sf_dir):
