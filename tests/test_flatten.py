@@ -135,7 +135,7 @@ def rendered(value):
     return value if isinstance(value, str) else json.dumps(value)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(RECORDS)
 def test_agrees_with_brute_force(spark, records):
     wanted = [{k: rendered(v) for k, v in brute(r).items() if v is not None} for r in records]

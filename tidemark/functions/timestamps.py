@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Accepted layouts, tried in this order after ISO-8601.
+# Accepted layouts, tried in this order after ISO-8601.  The shape is
+# tested first because a failed parse costs far more than a failed match.
 ISO_8601 = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d{1,9})?)?)?\s?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 LAYOUTS = (
-    "yyyy-M-d H:m:s",
-    "M/d/yyyy h:m:s a",
-    "d-M-yyyy H:m:s",
-    "yyyy-d-M H:m:s",
+    ("yyyy-M-d H:m:s", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("M/d/yyyy h:m:s a", r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AP]M$"),
+    ("d-M-yyyy H:m:s", r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("yyyy-d-M H:m:s", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
 )
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -23,7 +24,8 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 def _first_match(text: Column) -> Column:
     # Each layout is tried only where the earlier ones gave null.
     iso = F.when(text.rlike(ISO_8601), F.try_to_timestamp(text))
-    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(layout)) for layout in LAYOUTS])
+    others = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout))) for layout, shape in LAYOUTS]
+    return F.coalesce(iso, *others)
 
 
 def try_parse_timestamp(column: Column) -> Column:

@@ -38,9 +38,9 @@ def split_errors(
     """
     documents = as_documents(df, document)
     keep = [c for c in documents.columns if c != document]
-    listed = F.try_variant_get(document, f"$.{records}", "array<variant>")
+    listed = F.try_variant_get(document, f"$.{records}", "variant")
     # The split is decided once per row and each side filters on it.
-    marked = documents.withColumn("__ok", listed.isNotNull())
+    marked = documents.withColumn("__ok", listed.isNotNull() & ~F.is_variant_null(listed))
     errors = F.try_variant_get(document, "$.errors", "array<variant>")
     rejected = marked.filter(~F.col("__ok")).select(*keep, F.explode_outer(errors).alias("__error"))
     reason = F.try_variant_get("__error", "$.errorReason", "string")

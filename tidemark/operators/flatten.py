@@ -50,9 +50,15 @@ def as_variant(column: Column, strict: bool = True) -> Column:
     return F.parse_json(column) if strict else F.try_parse_json(column)
 
 
-def _key_step(key: Column) -> Column:
-    quote = F.when(key.contains("'"), F.lit('"')).otherwise(F.lit("'"))
-    return F.concat(F.lit("["), quote, key, quote, F.lit("]"))
+def _step(segment: str | int) -> str:
+    if isinstance(segment, int):
+        return f"[{segment}]"
+    quote = '"' if "'" in segment else "'"
+    return f"[{quote}{segment}{quote}]"
+
+
+def _path(segments: Iterable[str | int]) -> str:
+    return "$" + "".join(_step(segment) for segment in segments)
 
 
 def _is_text(value: Column) -> Column:
@@ -71,45 +77,34 @@ def _expand(df: DataFrame, first: bool) -> DataFrame:
     spark = df.sparkSession
     explode = spark.tvf.variant_explode if first else spark.tvf.variant_explode_outer
     down = df.lateralJoin(explode(F.col("value").outer()).toDF("pos", "key", "child"))
-    step = F.when(F.col("key").isNotNull(), _key_step(F.col("key"))).otherwise(
-        F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))
-    )
-    segment = F.struct(F.col("key"), F.col("pos"))
     moved = F.col("pos").isNotNull()
+    longer = F.concat(F.col("segments"), F.array(F.struct("key", "pos")))
     return down.select(
-        F.when(moved, F.concat("path", step)).otherwise(F.col("path")).alias("path"),
-        F.when(moved, F.concat(F.col("segments"), F.array(segment))).otherwise(F.col("segments")).alias("segments"),
+        F.when(moved, longer).otherwise(F.col("segments")).alias("segments"),
         F.when(moved, F.col("child")).otherwise(F.col("value")).alias("value"),
         F.col("embedded"),
     )
 
 
 def _leaf_rows(records: DataFrame, depth: int, embedded: bool, clean: bool, ignore: Iterable[str]) -> DataFrame:
+    """Distinct (segments, embedded, kind); `embedded` says the first segment was text."""
     level = records.select(
-        F.lit("$").alias("path"),
-        F.array().cast("array<struct<key:string,pos:int>>").alias("segments"),
-        F.col("value"),
-        F.lit(None).cast("string").alias("embedded"),
+        F.array().cast("array<struct<key:string,pos:int>>").alias("segments"), F.col("value"), F.lit(False).alias("embedded")
     )
     level = _expand(level, first=True)
     if ignore:
         level = level.filter(~F.col("segments")[0]["key"].isin(*ignore))
     if embedded:
         level = level.withColumn("inner", _embedded_object(F.col("value"), clean)).select(
-            F.when(F.col("inner").isNull(), F.col("path")).otherwise(F.lit("$")).alias("path"),
-            F.col("segments"),
-            F.coalesce("inner", "value").alias("value"),
-            F.when(F.col("inner").isNotNull(), F.col("path")).alias("embedded"),
+            F.col("segments"), F.coalesce("inner", "value").alias("value"), F.col("inner").isNotNull().alias("embedded")
         )
     for _ in range(depth - 1):
         level = _expand(level, first=False)
-    text = F.to_json("value")
-    kind = (
-        F.when(text.isin(EMPTY_OBJECT, EMPTY_ARRAY), "empty")
-        .when(text.startswith("{") | text.startswith("["), "deeper")
-        .otherwise("value")
-    )
-    return level.select("path", "segments", "embedded", kind.alias("kind")).distinct()
+    shape = level.select("segments", "embedded", "value", F.schema_of_variant("value").alias("shape"))
+    container = F.col("shape").startswith("OBJECT<") | F.col("shape").startswith("ARRAY<")
+    empty = (F.col("shape") == "OBJECT<>") | (F.to_json("value") == EMPTY_ARRAY)
+    kind = F.when(~container, "value").when(empty, "empty").otherwise("deeper")
+    return shape.select("segments", "embedded", kind.alias("kind")).distinct()
 
 
 def find_leaves(
@@ -140,7 +135,7 @@ def find_leaves(
     kinds: dict[tuple, set[str]] = defaultdict(set)
     for row in found:
         segments = tuple(s.key if s.key is not None else s.pos for s in row.segments)
-        kinds[(row.embedded, row.path, segments)].add(row.kind)
+        kinds[(row.embedded, segments)].add(row.kind)
     if len(kinds) > max_columns:
         raise ValueError(f"more than {max_columns} distinct paths in {column}; raise max_columns")
 
@@ -151,27 +146,34 @@ def find_leaves(
         return separator.join(parts)
 
     # A path is nested when another path of the same document continues it.
-    prefixes = {(e, s[:n]) for e, _, s in kinds for n in range(len(s))}
+    prefixes = {(e, s[:n]) for e, s in kinds for n in range(len(s))}
     leaves = [
-        Leaf(name(s), path, s, e, "empty" in kind, (e, s) in prefixes)
-        for (e, path, s), kind in kinds.items()
+        Leaf(
+            name(s),
+            _path(s[1:]) if e else _path(s),
+            s,
+            _path(s[:1]) if e else None,
+            "empty" in kind,
+            (e, s) in prefixes,
+        )
+        for (e, s), kind in kinds.items()
     ]
     return sorted(leaves, key=lambda leaf: (leaf.name, leaf.embedded or "", leaf.path))
 
 
 def _leaf_value(document: Column, leaf: Leaf, clean: bool, empty_as: str | None) -> Column:
     value = F.try_variant_get(document, leaf.path, "string")
-    if clean:
-        value = clean_text(value)
-    if leaf.empty or leaf.nested:
-        text = F.to_json(F.try_variant_get(document, leaf.path, "variant"))
-        blank = text if empty_as is None else F.lit(empty_as)
-        value = (
-            F.when(text.isin(EMPTY_OBJECT, EMPTY_ARRAY), blank)
-            .when(text.startswith("{") | text.startswith("["), F.lit(None))
-            .otherwise(value)
-        )
-    return value
+    if not (leaf.empty or leaf.nested):
+        return clean_text(value) if clean else value
+    # Only text that looks like a container needs to be told from one.
+    blank = value if empty_as is None else F.lit(empty_as)
+    shape = F.schema_of_variant(F.try_variant_get(document, leaf.path, "variant"))
+    text = clean_text(value) if clean else value
+    return (
+        F.when(~value.rlike(r"^[\[{]"), text)
+        .when(shape == "STRING", text)
+        .when(value.isin(EMPTY_OBJECT, EMPTY_ARRAY), blank)
+    )
 
 
 def _position(text: Column, leaf: Leaf) -> Column:

@@ -15,7 +15,7 @@ from tidemark.functions.timestamps import parse_timestamp_column, try_parse_time
 NULL_LIKE = ("None", "")
 # Literals as they are written in the source: 7, -1_000, 1.5, .5, 2e3, true, False.
 WHOLE = r"^\s*[+-]?(0[0_]*|[1-9][0-9_]*)\s*$"
-DECIMAL = r"^\s*[+-]?([0-9][0-9_]*\.[0-9_]*|\.[0-9][0-9_]*|[0-9][0-9_]*)([eE][+-]?[0-9]+)?\s*$"
+DECIMAL = r"^\s*[+-]?(([0-9][0-9_]*\.[0-9_]*|\.[0-9][0-9_]*)([eE][+-]?[0-9]+)?|[0-9][0-9_]*[eE][+-]?[0-9]+)\s*$"
 TRUTH = r"(?i)^\s*(true|false)\s*$"
 
 # What one value looks like, as bits so that a column is summarised by one `bit_or`.
@@ -32,10 +32,17 @@ class ColumnProfile:
     values: int
 
 
+DAY_MICROS = 86_400_000_000
+
+
+def _temporal(moment: Column) -> Column:
+    """DAY at midnight, INSTANT otherwise, null for null; written to use `moment` once."""
+    midnight = (F.unix_micros(moment) % DAY_MICROS == 0).cast("int")
+    return F.lit(INSTANT) - midnight * (INSTANT - DAY)
+
+
 def _kind(text: Column, literals: bool) -> Column:
-    moment = try_parse_timestamp(text)
-    day = F.date_trunc("day", moment) == moment
-    temporal = F.when(moment.isNull(), OTHER).when(day, DAY).otherwise(INSTANT)
+    temporal = F.coalesce(_temporal(try_parse_timestamp(text)), F.lit(OTHER))
     if not literals:
         return temporal
     return (
@@ -43,20 +50,36 @@ def _kind(text: Column, literals: bool) -> Column:
     )
 
 
+def _figures(field: T.StructField) -> tuple[Column, Column | None]:
+    """What a value looks like, and its whole number where it can have one."""
+    raw, kind = F.col(field.name), field.dataType
+    # A typed column needs no reading of its text.
+    if isinstance(kind, T.IntegralType):
+        return F.when(raw.isNotNull(), INT), raw.cast("decimal(38,0)")
+    if isinstance(kind, T.FractionalType):
+        return F.when(raw.isNotNull(), FLOAT), None
+    if isinstance(kind, T.BooleanType):
+        return F.when(raw.isNotNull(), BOOL), None
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return _temporal(raw.cast("timestamp")), None
+    if not isinstance(kind, T.StringType):
+        return F.when(raw.isNotNull(), OTHER), None
+    text = F.when(~raw.isin(*NULL_LIKE), raw)
+    whole = F.when(text.rlike(WHOLE), F.replace(F.btrim(text), F.lit("_")).try_cast("decimal(38,0)"))
+    return F.when(text.isNotNull(), _kind(text, literals=field.name.lower() != "date")), whole
+
+
 def profile_columns(df: DataFrame) -> dict[str, ColumnProfile]:
     """One aggregate over the batch, four figures per column."""
     figures = []
     for i, field in enumerate(df.schema):
-        raw = F.col(field.name)
-        text = raw.cast("string") if not isinstance(field.dataType, T.VariantType) else F.to_json(raw)
-        text = F.when(~text.isin(*NULL_LIKE), text)
-        whole = F.when(text.rlike(WHOLE), F.replace(F.btrim(text), F.lit("_")).try_cast("decimal(38,0)"))
-        kind = F.when(text.isNotNull(), _kind(text, literals=field.name.lower() != "date"))
+        kind, whole = _figures(field)
+        whole = F.lit(None).cast("decimal(38,0)") if whole is None else whole
         figures += [
             F.bit_or(kind).alias(f"k{i}"),
             F.min(whole).alias(f"l{i}"),
             F.max(whole).alias(f"h{i}"),
-            F.count(raw).alias(f"n{i}"),
+            F.count(F.col(field.name)).alias(f"n{i}"),
         ]
     row = df.agg(*figures).first()
     return {

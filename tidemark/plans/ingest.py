@@ -151,15 +151,18 @@ def ingest(
     rows = landed
     if event.cdc_field:
         rows = add_meta(landed, run_ts, event.cdc_field).drop("date", "timestamp_extracted")
-    batch = read_stream(
+    wanted = read_stream(
         rows,
         event.endpoint,
         event.request_type,
         cdc=event.cdc_field or None,
         start=event.start_date,
         end=event.end_date,
+        ordered=False,
     )
-    count = 0
+    # Staged, so that the landed files are read and parsed once: looking for empty
+    # columns and writing each read the batch again.
+    batch, count = stage(wanted, "batch"), 0
     if not batch.isEmpty():
         shaped, _ = process_records(
             batch,

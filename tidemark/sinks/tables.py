@@ -16,27 +16,46 @@ from pyspark.sql import types as T
 from tidemark.plans.catalog import TableCatalog, with_comments
 
 
+DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
+
+
+def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
+    """Into an existing catalog table: columns it lacks are added, columns the batch lacks are null.
+
+    With `overwrite` only the partitions the batch holds rows for are replaced.
+    """
+    spark = df.sparkSession
+    known = spark.table(table).schema
+    added = [T.StructField(f.name, f.dataType, True, f.metadata) for f in df.schema if f.name not in known.names]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({T.StructType(added).toDDL()})")
+    # An insert matches by position.
+    columns = [
+        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.table(table).schema
+    ]
+    before = spark.conf.get(DYNAMIC)
+    spark.conf.set(DYNAMIC, "dynamic")
+    try:
+        df.select(*columns).write.insertInto(table, overwrite=overwrite)
+    finally:
+        spark.conf.set(DYNAMIC, before)
+
+
 def _save(
     df: DataFrame, target: str, mode: str, partition_by: tuple[str, ...], dynamic: bool, comments: dict[str, str] | None
 ) -> None:
     df = with_comments(df, comments) if comments else df
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if "/" not in target and (mode == "append" or dynamic) and df.sparkSession.catalog.tableExists(target):
+        return _insert(df, target, overwrite=dynamic)
     writer = df.write.mode(mode).format("parquet").option("compression", "snappy")
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    elif mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "static")
-    if "/" in target:
-        writer.save(target)
-    elif mode == "overwrite" and dynamic and df.sparkSession.catalog.tableExists(target):
-        # Replacing some partitions of a catalog table is an insert, matched by position.
-        columns = df.sparkSession.table(target).columns
-        df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
-    else:
-        writer.saveAsTable(target)
+    return writer.save(target) if "/" in target else writer.saveAsTable(target)
 
 
 def append(df: DataFrame, target: str, partition_by: tuple[str, ...] = ("date",), comments=None) -> None:

@@ -40,6 +40,7 @@ def select_objects(document: Column, keys: Iterable[str]) -> Column:
 def explode_records(df: DataFrame, document: str, keys: Iterable[str], record: str = "record") -> DataFrame:
     """One row per element of the array under `keys`; the document's other columns stay."""
     keep = [c for c in df.columns if c != document]
-    items = select_objects(F.col(document), keys)
-    rows = df.select(*keep, items.try_cast("array<variant>").alias("__items"))
-    return rows.select(*keep, F.explode("__items").alias(record))
+    rows = df.select(*keep, select_objects(F.col(document), keys).alias("__items"))
+    elements = df.sparkSession.tvf.variant_explode(F.col("__items").outer()).toDF("__pos", "__key", record)
+    # Elements of an array have no key.
+    return rows.lateralJoin(elements).filter(F.col("__key").isNull()).select(*keep, record)

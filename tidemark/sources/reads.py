@@ -76,8 +76,12 @@ def read_stream(
     cdc: str | None = None,
     start: datetime | str | None = None,
     end: datetime | str | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Dispatch on the kind of request: `get` reads in full, `post` reads changes."""
+    """Dispatch on the kind of request: `get` reads in full, `post` reads changes.
+
+    `ordered=False` leaves out the sort by change time, for rows that are only written on.
+    """
     if request_type == "get":
         if endpoint == "glaccounts":
             last = end if isinstance(end, str) else end.isoformat()
@@ -88,7 +92,7 @@ def read_stream(
     if request_type == "post":
         if not cdc:
             raise ValueError("a change read needs the change field")
-        return cdc_range(df, cdc, start, end, ordered=endpoint not in UNSORTED_ENDPOINTS)
+        return cdc_range(df, cdc, start, end, ordered=ordered and endpoint not in UNSORTED_ENDPOINTS)
     raise ValueError(f"request type {request_type!r} is neither get nor post")
 
 
