@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import bookmarks, chunks
-from tidemark.operators.documents import installment_table, installments_for, product_configurations, split_errors
+from tidemark.operators.documents import installment_table, installments_for, product_configurations, reject_errors
 from tidemark.plans import ingest, staging
 from tidemark.plans.catalog import TableCatalog
 from tidemark.sinks import tables
@@ -164,7 +164,7 @@ def test_installments(spark, rows):
 def test_product_configurations(spark, rows):
     df = spark.createDataFrame([(json.dumps({"loanProducts": [{"id": "p", "loanAmount": {"max": 5}, "fees": []}, {"id": "q"}]}),)], "document string")
     assert rows(product_configurations(df), "id", "loan_amount_max", "fees") == [("p", "5", ""), ("q", None, None)]
-    assert split_errors(df, "document", "loanProducts")[1].isEmpty()
+    assert reject_errors(df, "document", "loanProducts").isEmpty()
 
 
 def table_rows(spark):

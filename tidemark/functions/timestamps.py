@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 # Accepted layouts, tried in this order after ISO-8601.  The shape is
 # tested first because a failed parse costs far more than a failed match.
 ISO_8601 = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d{1,9})?)?)?\s?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+DATE_LIKE = r"^\d{1,4}[-/]\d"
 LAYOUTS = (
     ("yyyy-M-d H:m:s", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
     ("M/d/yyyy h:m:s a", r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AP]M$"),
@@ -25,7 +26,7 @@ def _first_match(text: Column) -> Column:
     # Each layout is tried only where the earlier ones gave null.
     iso = F.when(text.rlike(ISO_8601), F.try_to_timestamp(text))
     others = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout))) for layout, shape in LAYOUTS]
-    return F.coalesce(iso, *others)
+    return F.when(text.rlike(DATE_LIKE), F.coalesce(iso, *others))
 
 
 def try_parse_timestamp(column: Column) -> Column:

@@ -28,24 +28,30 @@ def as_documents(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.try_parse_json(column))
 
 
-def split_errors(
+def reject_errors(
     df: DataFrame, document: str, records: str, *, warnings: Iterable[str] = WARNING_REASONS
-) -> tuple[DataFrame, DataFrame]:
-    """Documents with a record list, and one reject row per error of the others.
+) -> DataFrame:
+    """One row per error of the documents that have no record list.
 
-    A document with neither is rejected without a reason.  Both results keep the
-    other columns; rejects carry `reason` and `severity`.
+    Rows keep the other columns and get `reason` and `severity`; a document with
+    neither records nor errors is rejected without a reason.
     """
     documents = as_documents(df, document)
     keep = [c for c in documents.columns if c != document]
-    listed = F.try_variant_get(document, f"$.{records}", "variant")
-    # The split is decided once per row and each side filters on it.
-    marked = documents.withColumn("__ok", listed.isNotNull() & ~F.is_variant_null(listed))
-    errors = F.try_variant_get(document, "$.errors", "array<variant>")
-    rejected = marked.filter(~F.col("__ok")).select(*keep, F.explode_outer(errors).alias("__error"))
+    parts = documents.select(
+        *keep,
+        F.try_variant_get(document, f"$.{records}", "variant").alias("__records"),
+        F.try_variant_get(document, "$.errors", "array<variant>").alias("__errors"),
+    )
+    # Good documents explode to nothing.  Filtering them out instead would have the
+    # optimizer parse each document once more for the filter.
+    bad = F.col("__records").isNull() | F.is_variant_null("__records")
+    nothing = F.array().cast("array<variant>")
+    errors = F.when(~bad, nothing).otherwise(F.coalesce("__errors", F.array(F.lit(None).cast("variant"))))
+    rejects = parts.select(*keep, F.explode(errors).alias("__error"))
     reason = F.try_variant_get("__error", "$.errorReason", "string")
     severity = F.when(reason.isin(*warnings), "warning").otherwise("error")
-    return marked.filter("__ok").drop("__ok"), rejected.select(*keep, reason.alias("reason"), severity.alias("severity"))
+    return rejects.select(*keep, reason.alias("reason"), severity.alias("severity"))
 
 
 def records_of(
@@ -57,7 +63,10 @@ def records_of(
     run_ts: datetime | None = None,
     **find_options,
 ) -> DataFrame:
-    """One flat row per element of the documents' record list; empty containers become ''."""
+    """One flat row per element of the documents' record list; empty containers become ''.
+
+    Documents without the list, such as error documents, give no rows.
+    """
     rows = explode_records(as_documents(df, document), document, [records])
     flat = flatten(rows, "record", leaves, empty_as="", **find_options)
     return flat.withColumn("timestamp_extracted", run_time(run_ts)) if run_ts else flat
@@ -78,8 +87,8 @@ def installments_for(
     """
     ids = accounts.select(F.col("id").alias(account_id))
     wanted = restrict_to_keys(documents, ids, [account_id])
-    good, rejects = split_errors(wanted, document, "installments")
-    return records_of(good, document, "installments", leaves=leaves, run_ts=run_ts), rejects
+    flat = records_of(wanted, document, "installments", leaves=leaves, run_ts=run_ts)
+    return flat, reject_errors(wanted, document, "installments")
 
 
 def installment_table(flat: DataFrame, catalog: TableCatalog | None = None) -> DataFrame:

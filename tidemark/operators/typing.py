@@ -50,38 +50,48 @@ def _kind(text: Column, literals: bool) -> Column:
     )
 
 
-def _figures(field: T.StructField) -> tuple[Column, Column | None]:
-    """What a value looks like, and its whole number where it can have one."""
-    raw, kind = F.col(field.name), field.dataType
-    # A typed column needs no reading of its text.
-    if isinstance(kind, T.IntegralType):
-        return F.when(raw.isNotNull(), INT), raw.cast("decimal(38,0)")
-    if isinstance(kind, T.FractionalType):
-        return F.when(raw.isNotNull(), FLOAT), None
-    if isinstance(kind, T.BooleanType):
-        return F.when(raw.isNotNull(), BOOL), None
+def _typed_kind(raw: Column, kind: T.DataType) -> Column:
+    """What a value of a typed column looks like, without reading its text."""
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return _temporal(raw.cast("timestamp")), None
-    if not isinstance(kind, T.StringType):
-        return F.when(raw.isNotNull(), OTHER), None
-    text = F.when(~raw.isin(*NULL_LIKE), raw)
-    whole = F.when(text.rlike(WHOLE), F.replace(F.btrim(text), F.lit("_")).try_cast("decimal(38,0)"))
-    return F.when(text.isNotNull(), _kind(text, literals=field.name.lower() != "date")), whole
+        return _temporal(raw.cast("timestamp"))
+    bits = {T.IntegralType: INT, T.FractionalType: FLOAT, T.BooleanType: BOOL}
+    return F.when(raw.isNotNull(), next((bit for base, bit in bits.items() if isinstance(kind, base)), OTHER))
 
 
 def profile_columns(df: DataFrame) -> dict[str, ColumnProfile]:
-    """One aggregate over the batch, four figures per column."""
-    figures = []
-    for i, field in enumerate(df.schema):
-        kind, whole = _figures(field)
-        whole = F.lit(None).cast("decimal(38,0)") if whole is None else whole
-        figures += [
-            F.bit_or(kind).alias(f"k{i}"),
-            F.min(whole).alias(f"l{i}"),
-            F.max(whole).alias(f"h{i}"),
-            F.count(F.col(field.name)).alias(f"n{i}"),
+    """One aggregate over the batch, four figures per column.
+
+    The steps are separate projections so that a value is prepared, classified and
+    read as a number once each.
+    """
+    fields = list(enumerate(df.schema))
+    is_text = {i: isinstance(f.dataType, T.StringType) for i, f in fields}
+    prepared, classified, numbers = [], [], []
+    for i, field in fields:
+        raw, value = F.col(field.name), F.col(f"v{i}")
+        prepared += [
+            (F.when(~raw.isin(*NULL_LIKE), raw) if is_text[i] else raw).alias(f"v{i}"),
+            raw.isNotNull().alias(f"n{i}"),
         ]
-    row = df.agg(*figures).first()
+        kind = _kind(value, field.name.lower() != "date") if is_text[i] else _typed_kind(value, field.dataType)
+        classified += [value, F.col(f"n{i}"), F.when(value.isNotNull(), kind).alias(f"k{i}")]
+        if is_text[i] or isinstance(field.dataType, T.IntegralType):
+            digits = F.replace(F.btrim(value), F.lit("_")) if is_text[i] else value
+            whole = F.when(F.col(f"k{i}") == INT, digits.try_cast("decimal(38,0)"))
+        else:
+            whole = F.lit(None).cast("decimal(38,0)")
+        numbers += [whole.alias(f"w{i}"), F.col(f"n{i}"), F.col(f"k{i}")]
+    figures = [
+        figure
+        for i, _ in fields
+        for figure in (
+            F.bit_or(f"k{i}").alias(f"k{i}"),
+            F.min(f"w{i}").alias(f"l{i}"),
+            F.max(f"w{i}").alias(f"h{i}"),
+            F.count_if(f"n{i}").alias(f"n{i}"),
+        )
+    ]
+    row = df.select(*prepared).select(*classified).select(*numbers).agg(*figures).first()
     return {
         name: ColumnProfile(row[f"k{i}"] or 0, row[f"l{i}"], row[f"h{i}"], row[f"n{i}"])
         for i, name in enumerate(df.columns)

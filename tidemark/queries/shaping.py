@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.naming import rename_in_order, snake_case, snake_letters_column, snake_words_column
 from tidemark.functions.text import clean_columns
 from tidemark.functions.timestamps import ISO_MICROS, iso_text, parse_catalogued, parse_timestamp_column
-from tidemark.operators.documents import installment_table, installments_for, product_configurations, split_errors
+from tidemark.operators.documents import installment_table, installments_for, product_configurations, reject_errors
 from tidemark.operators.flatten import blank_empty, flatten
 from tidemark.operators.shape import add_meta, drop_null_columns, record_table
 from tidemark.operators.typing import apply_types, boolean_or_text, infer_types
@@ -434,8 +434,7 @@ FROM orders WHERE o_orderstatus = 'P'
 """,
 )
 def error_split(spark, sf_dir):
-    _, rejects = split_errors(_schedule_documents(spark, sf_dir), "document", "installments")
-    return rejects
+    return reject_errors(_schedule_documents(spark, sf_dir), "document", "installments")
 
 
 @query(
