@@ -116,6 +116,7 @@ def find_leaves(
     separator: str = "_",
     ignore_root_keys: Iterable[str] = (),
     replace_separators: str | None = None,
+    strict: bool = True,
     depth: int = 4,
     max_columns: int = 10_000,
 ) -> list[Leaf]:
@@ -125,7 +126,8 @@ def find_leaves(
     repeated with twice the depth.  More than `max_columns` paths is an error rather
     than a partial result.
     """
-    value = F.col(column) if isinstance(df.schema[column].dataType, T.VariantType) else F.try_parse_json(column)
+    is_variant = isinstance(df.schema[column].dataType, T.VariantType)
+    value = F.col(column) if is_variant else as_variant(F.col(column), strict)
     records = df.select(value.alias("value"))
     while True:
         found = _leaf_rows(records, depth, embedded, clean, tuple(ignore_root_keys)).limit(2 * max_columns + 1).collect()
@@ -208,7 +210,7 @@ def flatten(
     empty_as: what empty containers become; None keeps their JSON text.
     """
     if leaves is None:
-        leaves = find_leaves(df, column, embedded=embedded, clean=clean, **find_options)
+        leaves = find_leaves(df, column, embedded=embedded, clean=clean, strict=strict, **find_options)
     is_variant = isinstance(df.schema[column].dataType, T.VariantType)
     keep = [c for c in df.columns if c != column]
     clash = {leaf.name for leaf in leaves} & set(keep)

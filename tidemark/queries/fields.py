@@ -15,6 +15,7 @@ from tidemark.operators.customfields import (
     slot_extremes,
 )
 from tidemark.queries.registry import events, query, stamp, table
+from tidemark.sources.reads import distinct_keys, rows_with
 
 
 def _slots(spark, sf_dir):
@@ -198,6 +199,16 @@ def corrected_transactions_query(spark, sf_dir):
     return rows.withColumns({c: stamp(c) for c in ("creation_date", "value_date", "booking_date")})
 
 
+@query(
+    "distinct_slot_ids",
+    SLOTS + "SELECT DISTINCT encoded_key, i0, i1, i2 FROM slots WHERE i0 IN ('R', 'A')",
+)
+def distinct_slot_ids(spark, sf_dir):
+    rows = rows_with(_slots(spark, sf_dir), "custom_fields_0_id", ("R", "A"))
+    rows = rows.select("encoded_key", *[F.col(f"custom_fields_{i}_id").alias(f"i{i}") for i in range(3)])
+    return distinct_keys(rows, *rows.columns)
+
+
 @query(
     "slot_group_minmax",
     SLOTS

@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.naming import rename_in_order, snake_case, snake_letters_column, snake_words_column
 from tidemark.functions.text import clean_columns
-from tidemark.functions.timestamps import ISO_MICROS, iso_text, parse_catalogued, parse_timestamp_column
+from tidemark.functions.timestamps import (
+    ISO_MICROS,
+    add_second_text,
+    calendar_day,
+    day_text,
+    iso_text,
+    parse_catalogued,
+    parse_timestamp_column,
+)
 from tidemark.operators.documents import installment_table, installments_for, product_configurations, reject_errors
 from tidemark.operators.flatten import blank_empty, flatten
 from tidemark.operators.shape import add_meta, drop_null_columns, record_table
@@ -195,6 +203,32 @@ def fixed_format_ts(spark, sf_dir):
     return parsed.select("event_id", iso_text(F.col("ts")).alias("again"), stamp("ts").alias("ts"))
 
 
+@query(
+    "scalar_functions",
+    """
+SELECT event_id, CAST(ts AS DATE) AS day_of_text, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S.%f') AS midnight,
+       strftime(ts, '%Y%m%d') AS partition_day, CAST(ts AS DATE) - 1 AS day_before,
+       abs(CAST(-value AS DECIMAL(10,2))) AS abs_amount, starts_with(event_type, 'p') AND length(event_type) > 0 AS is_card,
+       CASE WHEN event_type = 'error' THEN 'none' ELSE event_type END AS filled,
+       strftime(least(ts + INTERVAL 1 SECOND, TIMESTAMP '2024-01-15 00:00:00'), '%Y-%m-%dT%H:%M:%S.%fZ') AS chunk_end
+FROM events
+""",
+)
+def scalar_functions(spark, sf_dir):
+    rows = events(spark, sf_dir).withColumn("text", iso_text(F.col("ts")))
+    return rows.select(
+        "event_id",
+        calendar_day(rows, "text").alias("day_of_text"),
+        stamp(F.date_trunc("day", "ts")).alias("midnight"),
+        day_text(F.col("ts")).alias("partition_day"),
+        F.to_date(F.col("ts") - F.expr("INTERVAL 1 DAY")).alias("day_before"),
+        F.abs((-F.col("value")).cast("decimal(10,2)")).alias("abs_amount"),
+        (F.col("event_type").startswith("p") & (F.length("event_type") > 0)).alias("is_card"),
+        F.coalesce(F.when(F.col("event_type") != "error", F.col("event_type")), F.lit("none")).alias("filled"),
+        F.least(add_second_text(F.col("text")), F.lit("2024-01-15T00:00:00.000000Z")).alias("chunk_end"),
+    )
+
+
 @query(
     "coerce_schema",
     """

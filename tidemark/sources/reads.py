@@ -96,6 +96,11 @@ def read_stream(
     raise ValueError(f"request type {request_type!r} is neither get nor post")
 
 
+def rows_with(df: DataFrame, column: str, values: Iterable) -> DataFrame:
+    """Rows whose column holds one of a few given values."""
+    return df.filter(F.col(column).isin(*values))
+
+
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
