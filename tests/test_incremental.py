@@ -65,6 +65,16 @@ def test_high_water_mark(spark):
         bookmarks.high_water_mark(df.limit(0), "lastModifiedDate").collect()
 
 
+def test_high_water_mark_can_read_the_newest_partition_only(spark, tmp_path):
+    df = spark.createDataFrame([(hour(1), "20240101"), (hour(30), "20240102")], "creation_date timestamp, date string")
+    tables.append(df, str(tmp_path / "t"))
+    lake = spark.read.parquet(str(tmp_path / "t"))
+    mark = bookmarks.high_water_mark(lake, "creationDate", "date")
+    assert mark.first().bookmark == "2024-01-02T06:00:00+00:00"
+    plan = mark._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
 def test_bookmarks_advance(spark, rows, tmp_path):
     state = spark.createDataFrame(
         [("clients", None, "2024-01-01T00:00:00.000000Z"), ("users", None, "2024-01-01T00:00:00.000000Z"), ("gone", None, "2024-01-01T00:00:00.000000Z"),
@@ -237,3 +247,13 @@ def test_a_cluster_must_name_its_shared_folder():
 def test_staged_tables_lie_in_the_shared_folder(spark):
     staged = staging.stage(spark.range(3), "x")
     assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
+
+
+def test_only_staged_tables_are_released(spark, tmp_path):
+    path = staging.new_path(spark, "x")
+    staging.stage(spark.range(3), path=path)
+    staging.release(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError, match="not a staged table"):
+        staging.release(spark, str(tmp_path))

@@ -98,6 +98,21 @@ def test_json_lines(spark, tmp_path):
     assert landed.read_json_lines(spark, str(tmp_path), "clients").count() == 3
 
 
+def test_tables_by_name_and_path(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(2).write.parquet(path)
+    spark.range(2).selectExpr("id", "'x' AS more").write.mode("append").parquet(path)
+    assert sorted(reads.read_table(spark, path).columns) == ["id", "more"]
+    wide = spark.range(0).selectExpr("id", "CAST(NULL AS string) AS more").schema
+    assert reads.read_table(spark, path, wide).filter("more IS NULL").count() == 2
+    spark.range(3).createOrReplaceTempView("named")
+    assert reads.read_table(spark, "named").count() == 3
+
+
+def test_rows_with_given_values(spark, rows):
+    assert rows(reads.rows_with(spark.range(5), "id", [1, 3, 9])) == [(1,), (3,)]
+
+
 def test_sql_with_parameters(spark, tmp_path):
     changes(spark).createOrReplaceTempView("changes")
     path = tmp_path / "q.sql"

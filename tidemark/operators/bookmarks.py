@@ -23,8 +23,15 @@ SECONDS_SUBSTREAMS = ("EQUITY",)
 YESTERDAY_LAYOUT = "%Y-%m-%dT00:00:00.000000Z"
 
 
-def high_water_mark(df: DataFrame, cdc_field: str) -> DataFrame:
-    """One row `bookmark`: the latest change, as ISO text in UTC; an empty table is an error."""
+def high_water_mark(df: DataFrame, cdc_field: str, partition: str | None = None) -> DataFrame:
+    """One row `bookmark`: the latest change, as ISO text in UTC; an empty table is an error.
+
+    `partition` names a partition column that grows with the change field; then only
+    its newest value is read.  Not for tables that repairs or backfills append to,
+    whose rows lie in the partition of the day they were appended.
+    """
+    if partition:
+        df = df.filter(F.col(partition) == df.agg(F.max(partition)).scalar())
     latest = F.max(F.col(snake_words(cdc_field)).cast("timestamp"))
     text = F.date_format(latest, "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format(latest, "SSSSSS")

@@ -123,7 +123,8 @@ def overlay(primary: DataFrame, correction: DataFrame, columns: Sequence[str], k
     """All primary rows; where one of `columns` is null, the correction's value.
 
     An ordinary key join: null keys do not match, and a correction that repeats a
-    key repeats the row.
+    key repeats the row.  No side is broadcast unless its size is known to be small;
+    both sides reach the join as they are, so AQE can split a hot primary key.
     """
     fixes = correction.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__fix_{c}") for c in columns])
     joined = primary.join(fixes, primary[key] == fixes["__key"], "left")

@@ -26,7 +26,8 @@ class ReconSpec:
     key, label:  what is counted distinct, and what the result columns call it.
     by_amount:   compare per (day, currency, type) with amounts and id extremes instead.
     check:       the figures `check_counts` compares.
-    day_is_partition: the target's `date` partition is the day compared, so it can prune.
+    day_is_partition: the target's `date` partition is the day compared, so it can prune;
+                 not for tables with repaired rows, which lie in the day of the repair.
     """
 
     stream: str

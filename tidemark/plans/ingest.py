@@ -16,7 +16,7 @@ from tidemark.operators.flatten import Leaf, flatten
 from tidemark.operators.shape import NESTED, add_meta, leftovers_as_text
 from tidemark.operators.typing import apply_types, infer_types, profile_columns
 from tidemark.plans.catalog import TableCatalog
-from tidemark.plans.staging import restrict_to_keys, stage
+from tidemark.plans.staging import new_path, release, restrict_to_keys, stage
 from tidemark.sinks import tables
 from tidemark.sources.landed import select_objects
 from tidemark.sources.reads import distinct_keys, read_stream, read_table
@@ -162,7 +162,8 @@ def ingest(
     )
     # Staged, so that the landed files are read and parsed once: looking for empty
     # columns and writing each read the batch again.
-    batch, count = stage(wanted, "batch"), 0
+    path, count = new_path(spark, "batch"), 0
+    batch = stage(wanted, path=path)
     if not batch.isEmpty():
         shaped, _ = process_records(
             batch,
@@ -175,6 +176,7 @@ def ingest(
         written = Observation()
         tables.append(shaped.observe(written, F.count(F.lit(1)).alias("n")), target)
         count = written.get["n"]
+    release(spark, path)
     summary = (event.table_name, event.endpoint, event.cdc_field, event.start_date, event.end_date, count)
     return spark.createDataFrame([summary], SUMMARY_SCHEMA)
 
@@ -204,7 +206,8 @@ def three_way_backfill(
     `apply=False` is a dry run.  `reports` is a folder for the difference reports.
     """
     spark = source.sparkSession
-    texts = distinct_keys(read_table(spark, target), key).withColumn(key, F.col(key).cast("string"))
+    # Only the key is read, which every file has: no need to merge file schemas.
+    texts = distinct_keys(read_table(spark, target, merge=False), key).withColumn(key, F.col(key).cast("string"))
     rows = source.withColumn(key, F.col(key).cast("string"))
     # Staged once: four results are taken from it.
     compared = stage(compare_keys(rows, texts, [key]), "compared")

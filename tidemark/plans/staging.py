@@ -29,7 +29,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write `df` as a table and read it back.
 
     Unlike a cached frame this survives lost executors, and unlike a checkpoint it
@@ -37,11 +37,19 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     under `autoBroadcastJoinThreshold`, and is otherwise a shuffled join whose sides
     are plain scans, which is the shape AQE can split when a key is hot.
     """
-    path = new_path(df.sparkSession, name)
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a staged table nothing reads any more."""
+    if not path.startswith(f"{shared_dir(spark)}/tidemark/"):
+        raise ValueError(f"{path} is not a staged table")
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def restrict_to_keys(rows: DataFrame, keys_df: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
     """Whole rows whose key is in `keys_df`.
 

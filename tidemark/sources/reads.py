@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The categories a full read asks for one after another.
 LEDGER_TYPES = ("ASSET", "LIABILITY", "EQUITY", "INCOME", "EXPENSE")
@@ -105,11 +106,16 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """A lake table by catalog name or by path; files of different ages are merged by column."""
-    if "/" in name_or_path:
-        return spark.read.option("mergeSchema", "true").parquet(name_or_path)
-    return spark.table(name_or_path)
+def read_table(spark: SparkSession, name_or_path: str, schema: T.StructType | None = None, merge: bool = True) -> DataFrame:
+    """A lake table by catalog name or by path.
+
+    By path, files of different ages are merged by column, which reads every file's
+    footer; give the schema, or `merge=False` for columns all files have, to avoid it.
+    """
+    if "/" not in name_or_path:
+        return spark.table(name_or_path)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", str(merge).lower())
+    return reader.parquet(name_or_path)
 
 
 def run_sql(spark: SparkSession, text: str, **args) -> DataFrame:
