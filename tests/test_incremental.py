@@ -142,6 +142,17 @@ def test_response_to_table(spark):
     assert (row.extra_x, row.full_name, row.tags, row.date) == (1, "a b", "[]", "20240201")
 
 
+def test_response_kept_nested(spark):
+    data = {"a": "x\n\ny  z", "b": {"c": ["p\tq", 1.5]}, "d": "k\\n", "e": "\\\n", "f": []}
+    df = spark.createDataFrame([(json.dumps({"data": data}),)], "d string")
+
+    def kept(**options):
+        return json.loads(ingest.process_response(df, "d", keys=("data",), **options).select(F.to_json("d").alias("d")).first().d)
+
+    assert kept() == data
+    assert kept(clean=True) == {"a": "x y z", "b": {"c": ["p q", 1.5]}, "d": "k\\n", "e": "\\ ", "f": []}
+
+
 def documents(spark):
     sample = {
         "dueDate": "2016-09-06T13:37:50+03:00",

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bookmarks
 from tidemark.operators.customfields import CHANNEL_COLUMN
+from tidemark.operators.reconcile import SPECS, result_catalog
 from tidemark.plans import catalog, ingest, jobs
 from tidemark.plans.streams import STREAMS
+from tidemark.sinks import tables
 
 RUN = datetime(2024, 2, 1, 1, 0)
 
@@ -41,6 +43,24 @@ def test_load_streams(spark, tmp_path, rows):
     assert rows(compared) == [("1", "left_only"), ("2", "both")]
 
 
+def test_reconcile_stream(spark, tmp_path, rows):
+    spec, lake, results, debug = SPECS["deposit_transactions"], *(str(tmp_path / n) for n in ("lake", "results", "debug"))
+    schema = "id string, creation_date string, amount string, currency_code string, type string"
+    source = spark.createDataFrame([(str(i), "2024-01-31 05:00:00", "1.5", "GBP", "D") for i in range(3)], schema)
+    read = lambda: spark.read.option("mergeSchema", "true").parquet(lake)
+    tables.append(source.filter("id = '0'").withColumn("creation_date", F.lit("2024-01-30")).withColumn("date", F.lit("x")), lake)
+    assert jobs.reconcile_stream(spec, source, read, results, RUN) == ("no_target_rows", None)
+    tables.append(source.filter("id = '0'").withColumn("date", F.lit("x")), lake)
+    outcome, checks = jobs.reconcile_stream(spec, source, read, results, RUN, debug_root=debug)
+    assert outcome == "mismatch" and rows(checks, "source", "target", "status") == [(3.0, 1.0, -1)]
+    assert spark.read.option("header", "true").csv(f"{debug}/debug_deposit_transactions_recon/20240201/010000.csv").count() == 3
+    later = RUN.replace(hour=2)
+    outcome, checks = jobs.reconcile_stream(spec, source, read, results, later, append_late=lambda df: tables.append(df, lake))
+    assert outcome == "match" and rows(checks, "source", "target", "status") == [(3.0, 3.0, 0)]
+    kept = tables.read_csv(spark, results, result_catalog(spec))
+    assert rows(kept, "target_total_rowcount_for_date", "timestamp_extracted") == [(1, RUN), (3, later)]
+
+
 def test_refresh_installments(spark, tmp_path, rows):
     def document(*keys):
         return json.dumps({"installments": [{"encodedKey": k, "dueDate": "2024-01-01T00:00:00Z"} for k in keys]})

@@ -174,6 +174,12 @@ def reconcile(
     return result.withColumn("timestamp_extracted", run_time(run_ts)) if run_ts else result
 
 
+def target_has_day(spec: ReconSpec, target: DataFrame, run_date: date) -> bool:
+    """Whether the lake holds anything for the day before the run."""
+    column = spec.target_day or spec.day
+    return not target.filter(on_day(target, column, yesterday(run_date))).isEmpty()
+
+
 def check_counts(recon: DataFrame, spec: ReconSpec, first_only: bool = False) -> DataFrame:
     """Per day and figure: source, target and status, 0 when equal and -1 when not.
 

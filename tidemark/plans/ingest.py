@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.naming import rename_in_order, snake_case, snake_words
+from tidemark.functions.text import clean_json
 from tidemark.operators.bookmarks import high_water_mark
 from tidemark.operators.diff import BOTH, SOURCE_ONLY, TARGET_ONLY, compare_keys, keys_found
 from tidemark.operators.flatten import Leaf, flatten
@@ -87,15 +88,17 @@ def process_response(
     flat: bool = False,
     leaves: list[Leaf] | None = None,
 ) -> DataFrame:
-    """Select objects, clean text, flatten (with embedded JSON text)."""
-    if keys:
-        value = F.col(document)
-        if dict(df.dtypes)[document] != "variant":
-            value = F.parse_json(value)
-        df = df.withColumn(document, select_objects(value, keys))
+    """Select objects, clean text, flatten (with embedded JSON text).
+
+    Without `flat` the document stays one VARIANT column.
+    """
+    is_variant = dict(df.dtypes)[document] == "variant"
+    value = F.col(document) if is_variant else F.parse_json(document)
     if flat:
-        return flatten(df, document, leaves, embedded=True, clean=clean)
-    return df
+        selected = df.withColumn(document, select_objects(value, keys)) if keys else df
+        return flatten(selected, document, leaves, embedded=True, clean=clean)
+    value = select_objects(value, keys)
+    return df.withColumn(document, F.parse_json(clean_json(F.to_json(value))) if clean else value)
 
 
 def process_records(

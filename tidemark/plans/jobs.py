@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,9 @@ from tidemark.operators.customfields import any_slot_in, channel_custom_fields,
 from tidemark.operators.diff import compare_keys
 from tidemark.operators.documents import installment_table, installments_for, product_configurations
 from tidemark.operators.flatten import flatten
-from tidemark.operators.shape import add_meta
+from tidemark.operators.reconcile import ReconSpec, check_counts, reconcile, result_catalog, target_has_day
+from tidemark.operators.repair import repair_and_reconcile
+from tidemark.operators.shape import add_meta, run_time
 from tidemark.plans.catalog import TableCatalog, from_names, slot_catalog
 from tidemark.sinks import tables
 from tidemark.sources.landed import read_json_lines
@@ -67,6 +69,39 @@ def compare_stream(landed: DataFrame, lake: DataFrame, key: str) -> DataFrame:
     return compare_keys(*sides, [key])
 
 
+def reconcile_stream(
+    spec: ReconSpec,
+    source: DataFrame,
+    read_target: Callable[[], DataFrame],
+    results: str,
+    run_ts: datetime,
+    *,
+    append_late: Callable[[DataFrame], None] | None = None,
+    debug_root: str | None = None,
+) -> tuple[str, DataFrame | None]:
+    """Reconcile yesterday, keep the result rows, and check them.
+
+    With `append_late` rows that came late are appended first (only streams compared by
+    amount).  With `debug_root` the source rows of a day the lake falls short on are
+    kept as CSV.  Returns the outcome and the checks (None without target rows).
+    """
+    target = read_target()
+    if not target_has_day(spec, target, run_ts.date()):
+        return "no_target_rows", None
+    if append_late and spec.by_amount:
+        recon, _ = repair_and_reconcile(spec, source, read_target, run_ts, append_late)
+    else:
+        recon = reconcile(spec, source, target, run_ts.date(), run_ts)
+    # Checked from the rows that were kept, so that nothing is computed twice.
+    catalog = result_catalog(spec)
+    tables.append_csv(recon, results, catalog)
+    stamped = F.date_trunc("millisecond", "timestamp_extracted") == F.date_trunc("millisecond", run_time(run_ts))
+    checks = check_counts(tables.read_csv(source.sparkSession, results, catalog).filter(stamped), spec)
+    if debug_root and not checks.filter("target < source").isEmpty():
+        tables.write_debug_snapshot(source, debug_root, spec.stream, "recon", run_ts)
+    return ("match" if checks.filter("status <> 0").isEmpty() else "mismatch"), checks
+
+
 def refresh_installments(
     documents: DataFrame, accounts: DataFrame, target: str, run_ts: datetime, catalog: TableCatalog | None = None
 ) -> DataFrame:
