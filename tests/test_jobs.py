@@ -43,6 +43,21 @@ def test_load_streams(spark, tmp_path, rows):
     assert rows(compared) == [("1", "left_only"), ("2", "both")]
 
 
+def test_backfill_ingest(spark, tmp_path, rows):
+    lake = str(tmp_path / "clients")
+    days = ("2024-01-01 05:00:00", "2024-01-02 00:00:00", "2024-01-02 23:00:00", "2024-01-09 00:00:00")
+    landed = spark.createDataFrame([(str(i), day) for i, day in enumerate(days)], "encodedKey string, creationDate string")
+    raw = {**STREAMS["clients"].event(start_date="2024-01-01 00:00:00", end_date="2024-01-03 12:00:00"), "cdc_field": "creationDate"}
+    types = catalog.from_names(["encoded_key", "creation_date"])
+    code, status = jobs.backfill_ingest(spark, raw, landed, lake, RUN, types)
+    assert code == 0 and rows(status, "chunk_num", "records_count") == [(1, 2), (2, 2), (3, 0)]
+    # The row on the boundary of two chunks is there twice.
+    assert rows(spark.read.parquet(lake), "encoded_key") == [("0",), ("1",), ("1",), ("2",)]
+    assert jobs.backfill_ingest(spark, {**raw, "start_date": "soon"}, landed, lake, RUN, types) == (1, None)
+    bad = landed.withColumn("creationDate", F.regexp_replace("creationDate", "2024-01-02 23.*", "junk"))
+    assert jobs.backfill_ingest(spark, raw, bad, str(tmp_path / "bad"), RUN, types)[0] == 2
+
+
 def test_reconcile_stream(spark, tmp_path, rows):
     spec, lake, results, debug = SPECS["deposit_transactions"], *(str(tmp_path / n) for n in ("lake", "results", "debug"))
     schema = "id string, creation_date string, amount string, currency_code string, type string"

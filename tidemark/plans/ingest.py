@@ -37,6 +37,7 @@ class Event:
     cdc_field: str = ""
     start_date: str | None = None
     end_date: str | None = None
+    extra_params: str = ""  # for whoever lands the records
     auto_schema: bool = False
     rename_columns: tuple[Mapping[str, str], ...] = field(default_factory=tuple)
 
@@ -74,6 +75,7 @@ def parse_event(raw: Mapping, now: datetime, lake: DataFrame | None = None) -> E
         cdc,
         start or None,
         end,
+        raw.get("extra_params", ""),
         str(raw.get("auto_schema", "False")).lower() == "true",
         tuple(raw.get("rename_columns") or ()),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import parse_catalogued
 from tidemark.operators.bookmarks import advance_bookmarks
+from tidemark.operators.chunks import FATAL, LAYOUT, backfill, parse_range
 from tidemark.operators.customfields import any_slot_in, channel_custom_fields, pivot_custom_fields
 from tidemark.operators.diff import compare_keys
 from tidemark.operators.documents import installment_table, installments_for, product_configurations
@@ -18,11 +19,32 @@ from tidemark.operators.reconcile import ReconSpec, check_counts, reconcile, res
 from tidemark.operators.repair import repair_and_reconcile
 from tidemark.operators.shape import add_meta, run_time
 from tidemark.plans.catalog import TableCatalog, from_names, slot_catalog
+from tidemark.plans.ingest import ingest, parse_event
 from tidemark.sinks import tables
 from tidemark.sources.landed import read_json_lines
 from tidemark.sources.reads import distinct_keys
 
 
+def backfill_ingest(
+    spark: SparkSession, raw_event: Mapping, landed: DataFrame, target: str, run_ts: datetime, catalog: TableCatalog | None = None
+) -> tuple[int, DataFrame | None]:
+    """Ingest a long range in chunks of `chunk_hours` (24), one after another.
+
+    Returns the outcome code and the status of each chunk.  Chunks include both ends,
+    so a row exactly on a boundary is appended twice.
+    """
+    try:
+        start, end = parse_range(raw_event["start_date"], raw_event.get("end_date"), run_ts)
+    except (KeyError, TypeError, ValueError):
+        return FATAL, None
+
+    def job(first: datetime, last: datetime) -> int:
+        event = parse_event({**raw_event, "start_date": first.strftime(LAYOUT), "end_date": last.strftime(LAYOUT)}, run_ts)
+        return ingest(spark, event, landed, target, run_ts, catalog).first().records_count
+
+    return backfill(spark, start, end, int(raw_event.get("chunk_hours", 24)), job)
+
+
 def stream_table(
     spark: SparkSession, folder: str, stream: str, run_ts: datetime, catalog: TableCatalog | None = None, **flatten_options
 ) -> DataFrame | None:
