@@ -108,9 +108,12 @@ def test_extract_channel_fields(spark, tmp_path, rows):
 
 def test_pivot_table(spark, tmp_path, rows):
     schema = "id string, encoded_key string, creation_date string, custom_fields_0_id string, custom_fields_0_value string"
-    df = spark.createDataFrame([("1", "k", "2024", "term_id", "5"), ("2", "l", "2024", "other", "6")], schema)
+    df = spark.createDataFrame([("1", "k", "2024-01-01 02:00:00", "term_id", "5"), ("2", "l", None, "other", "6"), ("3", "m", None, "FTD", None)], schema)
     catalog.create_database(spark, "pivot_tests")
     jobs.pivot_table(df, ["term_id", "FTD"], "pivot_tests.fields", RUN, slots=1, comments={"term_id": "Term"})
     table = spark.table("pivot_tests.fields")
-    assert rows(table, "id", "term_id", "FTD", "date") == [("1", "5", "None", "20240201")]
+    assert rows(table, "id", "creation_date", "term_id", "FTD", "date") == [
+        ("1", datetime(2024, 1, 1, 2), "5", "None", "20240201"),
+        ("3", None, "None", "0", "20240201"),
+    ]
     assert table.schema["term_id"].metadata["comment"] == "Term"

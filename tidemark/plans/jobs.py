@@ -8,10 +8,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.timestamps import parse_catalogued
+from tidemark.functions.timestamps import parse_catalogued, parse_timestamp
 from tidemark.operators.bookmarks import advance_bookmarks
 from tidemark.operators.chunks import FATAL, LAYOUT, backfill, parse_range
-from tidemark.operators.customfields import any_slot_in, channel_custom_fields, pivot_custom_fields
+from tidemark.operators.customfields import NO_VALUE, any_slot_in, channel_custom_fields, pivot_custom_fields
 from tidemark.operators.diff import compare_keys
 from tidemark.operators.documents import installment_table, installments_for, product_configurations
 from tidemark.operators.flatten import flatten
@@ -158,5 +158,7 @@ def pivot_table(
     """
     rows = accounts.filter(any_slot_in(ids, slots))
     wide = pivot_custom_fields(rows, ids, slots=slots, run_date=f"{run_ts:%Y%m%d}")
-    names = [c for c in slot_catalog(ids).types if c in wide.columns]
-    tables.overwrite_table(wide.select(*names), target, ("date",), comments)
+    # The pivot fills every column; a filled creation date is none.
+    created = parse_timestamp(F.nullif(F.col("creation_date"), F.lit(NO_VALUE)), "creation_date")
+    wide = wide.withColumn("creation_date", created)
+    tables.overwrite_table(wide.select(*slot_catalog(ids).types), target, ("date",), comments)
