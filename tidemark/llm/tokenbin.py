@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import read_files, staged, write_files
-from tidemark.llm.tokens import Encoder, batches_of
+from tidemark.llm.tokens import batches_of, shared_encoder
 
 # A file: magic, then little-endian 64-bit numbers: part, shard, bits an id, ids a block, documents, ids, blocks;
 # then doc_ids, a byte each that is 0 for a null one, ids per document, offsets of the blocks in the body, the body.
@@ -89,7 +89,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, s
     """
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, shard = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, shard = shared_encoder(tokenizer), TaskContext.get().partitionId(), 0
         bits = bits_for(max(encoder.vocabulary, end_id + 1))
         last = np.array([end_id], dtype=encoder.dtype).tobytes()
         names, parts, held = [], [], 0

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -16,39 +20,97 @@ from pyspark.sql import functions as F
 CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 # With other white space in the text the borders are less plain: encode it whole.
 OTHER_SPACE = re.compile(r"[^\S \n\t\r]")
+# Nor does it join a letter or digit with the signs after it.
+SIGNS = string.punctuation
+PROBE = " \u00e9ab\u00fc\u4e2d\u00ff"
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, the rest from 256 on in order."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Encoder:
     """Texts to little-endian id arrays; equal to `Tokenizer.encode` for byte-level BPE with its own word pattern.
 
-    Words repeat, so their ids are kept, `words` of them at most; a full cache starts anew.
+    Words repeat, so their ids are kept: the `words` latest, and those that were used
+    while the ones before them were the latest.
     """
 
-    def __init__(self, path: str, words: int = 300_000):
+    def __init__(self, path: str, words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.dtype = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
-        self.words, self.known = words, {}
+        self.words, self.known, self.older = words, {}, {}
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)]
+        self.separator_id, self.separator = special[0] if special else (None, None)
+        self.letters = byte_letters()
+        # Machines that Spark runs on are little-endian, as the ids are.
+        self.code = "H" if self.dtype == "<u2" else "I"
+        # A word of letters goes to the merges themselves, if that gives the same ids.
+        self.direct = self._merge(PROBE) == self._encode([PROBE])[0]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
 
+    def _merge(self, word: str) -> bytes:
+        found = self.tokenizer.model.tokenize(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))
+        return array(self.code, [t.id for t in found]).tobytes()
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """One call for many words: a special token stands between them, and nothing merges across it."""
+        if self.separator is None or any(self.separator in w for w in words):
+            return self._encode(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([self.separator.join(words)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+        ends = np.append(np.flatnonzero(ids == self.separator_id), len(ids)).tolist()
+        data, width, at, found = ids.tobytes(), ids.itemsize, 0, []
+        for end in ends:
+            found.append(data[at * width : end * width])
+            at = end + 1
+        return found
+
+    def _learn(self, chunks: list[list[str] | None]) -> None:
+        missing = set(filterfalse(self.known.__contains__, chain.from_iterable(c for c in chunks if c)))
+        if not missing:
+            return
+        if len(self.known) + len(missing) > self.words:
+            # What this call needs must be in one table: start it with all of that.
+            self.older, self.known = self.known, {}
+            missing = set(chain.from_iterable(c for c in chunks if c))
+        again = missing & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        new = missing - again
+        parts = {w: (core, w[len(core) :]) for w in new if len(core := w.rstrip(SIGNS)) < len(w) and core[-1:].isalnum() and not (self.separator and self.separator in w)}
+        for piece in set(chain(new.difference(parts), *parts.values())) - self.known.keys():
+            if piece in self.older:
+                self.known[piece] = self.older[piece]
+            elif self.direct and piece.removeprefix(" ").isalpha():
+                self.known[piece] = self._merge(piece)
+        rest = list(set(chain(new.difference(parts), *parts.values())) - self.known.keys())
+        if rest:
+            self.known.update(zip(rest, self._encode_words(rest)))
+        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         chunks = [None if OTHER_SPACE.search(t) else CHUNK.findall(t) for t in texts]
-        wanted = set().union(*(c for c in chunks if c))
-        if len(self.known) + len(wanted) > self.words:
-            self.known.clear()
-        missing = list(wanted.difference(self.known))
-        self.known.update(zip(missing, self._encode(missing)))
+        self._learn(chunks)
         look_up = self.known.__getitem__
         return [self._encode([t])[0] if c is None else b"".join(map(look_up, c)) for t, c in zip(texts, chunks)]
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """The worker's encoder: what one task has learnt, the next one on the same worker uses."""
+    return Encoder(path)
+
+
 def batches_of(texts: list[str | None], characters: int = 1 << 21) -> Iterator[tuple[int, list[str | None]]]:
     """Slices of `texts` of about that many characters, each with its place."""
     begin, total = 0, 0
@@ -65,7 +127,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id, ids (binary, little-endian, 2 bytes an id when the vocabulary allows, else 4), width (bytes an id), n (with the end id)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         width = np.dtype(encoder.dtype).itemsize
         last = np.array([end_id], dtype=encoder.dtype).tobytes()
         for batch in batches:
