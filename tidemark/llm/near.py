@@ -30,8 +30,8 @@ class Settings:
 
     words: int = 5
     percent: int = 80
-    trees: int = 16
-    levels: int = 6
+    trees: int = 12
+    levels: int = 8
     small: int = 64
     estimate: float = 0.64
     first_trees: int = 4
@@ -138,21 +138,23 @@ def _tokens(column: pa.Array) -> np.ndarray:
 
 
 def paths(nodes: DataFrame, s: Settings, level: int, trees: int) -> DataFrame:
-    """cls, tree nodes `above` and `node` (hashes of the minwise tokens chosen so far) at a level, for each tree; sketch: a byte per token."""
+    """cls, component, n, tree nodes `above` and `node` (hashes of the minwise tokens chosen so far) at a level, for each tree."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             tokens = _tokens(batch.column("tokens"))
-            sketch = pa.array([t.astype(np.uint8).tobytes() for t in tokens], pa.binary())
             for tree in range(trees):
                 node = np.full(len(tokens), tree + 1, np.uint64)
                 for i in range(level):
                     above, node = node, mix(node * np.uint64(0xD6E8FEB86659FD93) + tokens[:, tree * s.levels + i])
-                yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(above.view(np.int64)), pa.array(node.view(np.int64)), sketch], ["cls", "above", "node", "sketch"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("cls"), batch.column("component"), batch.column("n"), pa.array(above.view(np.int64)), pa.array(node.view(np.int64))],
+                    ["cls", "component", "n", "above", "node"],
+                )
 
-    return nodes.select("cls", "tokens").mapInArrow(choose, "cls binary, above long, node long, sketch binary")
+    return nodes.select("cls", "component", "n", "tokens").mapInArrow(choose, "cls binary, component binary, n long, above long, node long")
 
 
 def similarity(sketches: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -243,20 +245,19 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     the last level every node left is compared, the rows outside its largest
     component in several lots.
     """
-    owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "tokens")
+    owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "n", "tokens")
     owned = staged(owned, "near-owned")
     found, deep = None, None
     for level in range(1, s.levels + 1):
-        rows = paths(owned, s, level, s.trees)
+        labelled = paths(owned, s, level, s.trees)
         if deep is not None:
-            rows = rows.join(deep.select(F.col("node").alias("above")), "above", "left_semi")
-        labelled = rows.join(owned.select("cls", "component"), "cls")
+            labelled = labelled.join(deep.select(F.col("node").alias("above")), "above", "left_semi")
         shares = labelled.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
         sizes = shares.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
         mixed = staged(sizes.select("node", "all", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("rest")).filter("rest > 0"), "near-nodes")
         last = level == s.levels
         ready = mixed if last else mixed.filter(F.col("rest") <= s.small)
-        pairs = staged(_compared(labelled, ready, s).distinct(), "near-pairs")
+        pairs = staged(_compared(labelled, ready, owned, s).distinct(), "near-pairs")
         found = pairs if found is None else found.union(pairs)
         if last:
             break
@@ -266,7 +267,7 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     return found.distinct()
 
 
-def _compared(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
+def _compared(labelled: DataFrame, ready: DataFrame, owned: DataFrame, s: Settings) -> DataFrame:
     piece, lot = 1024, s.small
     rows = labelled.join(ready, "node").withColumn("few", F.col("component") != F.col("largest"))
     pieces = F.ceil(F.col("all") / piece).cast("int")
@@ -275,10 +276,12 @@ def _compared(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
     own_lot = F.pmod(place, lots)
     # Every row is in one piece, with each lot; a row of the few is also asked for in its lot, with each piece.
     members = rows.select(
-        "node", "cls", "component", "sketch", F.pmod(F.xxhash64(place), pieces).alias("piece"), F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(False).alias("asks")
+        "node", "cls", F.pmod(F.xxhash64(place), pieces).alias("piece"), F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(False).alias("asks")
     )
-    asking = rows.filter("few").select("node", "cls", "component", "sketch", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), own_lot.alias("lot"), F.lit(True).alias("asks"))
-    meeting = members.withColumn("piece", F.col("piece").cast("long")).unionByName(asking.select("node", "cls", "component", "sketch", F.col("piece").cast("long").alias("piece"), F.col("lot").cast("int").alias("lot"), "asks"))
+    asking = rows.filter("few").select("node", "cls", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), own_lot.alias("lot"), F.lit(True).alias("asks"))
+    meeting = members.withColumn("piece", F.col("piece").cast("long")).unionByName(asking.select("node", "cls", F.col("piece").cast("long").alias("piece"), F.col("lot").cast("int").alias("lot"), "asks"))
+    # Tokens come last, to the rows that are compared.
+    meeting = meeting.join(owned, "cls")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
@@ -288,13 +291,16 @@ def _compared(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
             others = [r for r in rows if not r[3]]
             if not asks or not others:
                 return [], []
-            x, y = (np.frombuffer(b"".join(r[2] for r in part), np.uint8).reshape(len(part), -1) for part in (asks, others))
-            found = [(i, j) for i, j in zip(*np.nonzero(similarity(x, y) >= s.estimate)) if asks[i][1] != others[j][1]]
+            x, y = (np.frombuffer(b"".join(r[2] for r in part), "<u4").reshape(len(part), -1).astype(np.uint8) for part in (asks, others))
+            # Sets whose sizes differ too much cannot reach the threshold.
+            n, m = (np.array([r[4] for r in part], np.int64) for part in (asks, others))
+            sizes = 100 * np.minimum(n[:, None], m[None]) >= s.percent * np.maximum(n[:, None], m[None])
+            found = [(i, j) for i, j in zip(*np.nonzero(sizes & (similarity(x, y) >= s.estimate))) if asks[i][1] != others[j][1]]
             return [asks[i][0] for i, _ in found], [others[j][0] for _, j in found]
 
         for batch in batches:
             a, b = [], []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("node", "piece", "lot", "cls", "component", "sketch", "asks"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("node", "piece", "lot", "cls", "component", "tokens", "asks", "n"))):
                 if row[:3] != key:
                     x, y = flush(group)
                     a += x
@@ -357,7 +363,7 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     similar; the second looks, in all trees, for links between different components,
     so that a large group of near copies never meets itself pair by pair.  Candidates
     of both are confirmed on full sets.  A pair at the threshold is missed by a tree
-    of depth d with probability 1 - 0.8^d: by all 16 trees below 1e-5 at depth 3.
+    of depth d with probability 1 - 0.8^d: by all 12 trees below 1e-8 at depth 1 and 2e-4 at depth 3.
 
     Rows that repeat a doc_id with different texts are linked each by their own text.
     A null doc_id is never the smallest unless all are null; `kept` says that doc_id
@@ -366,7 +372,7 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     s = settings or Settings()
     rows = staged(sketched(docs, s), "near-rows")
     full = rows.filter("cls IS NOT NULL")
-    nodes = full.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first"), F.any_value("tokens").alias("tokens"))
+    nodes = full.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first"), F.any_value("tokens").alias("tokens"), F.max("n").alias("n"))
     nodes = staged(nodes, "near-classes")
     links = staged(confirmed(docs, nodes, staged(first_pairs(nodes, s), "near-pairs"), s), "near-links")
     labels = staged(components(links), "near-labels")
