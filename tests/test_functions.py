@@ -124,3 +124,32 @@ def test_clean_text_is_one_pass(spark, values):
 def test_fill_missing(spark, rows):
     df = spark.createDataFrame([(None, "<NA>", 3)], "a string, b string, c int")
     assert rows(text.fill_missing(df)) == [("0", "0", "3")]
+
+
+def test_clean_json_after_any_number_of_backslashes(spark):
+    from tidemark.functions.text import clean_json
+
+    rows = [(n, "x" + "\\" * n + "ny") for n in range(81)]
+    found = spark.createDataFrame(rows, "n int, t string").select("n", clean_json(F.col("t")).alias("t")).collect()
+    assert all(r.t == ("x" + "\\" * (r.n - 1) + " y" if r.n % 2 else "x" + "\\" * r.n + "ny") for r in found)
+
+
+def test_chunks_keep_fractions_of_a_second(spark):
+    from datetime import datetime
+
+    from tidemark.operators.chunks import plan_chunks
+
+    plan = plan_chunks(spark, datetime(2024, 1, 1), datetime(2024, 1, 2, 0, 0, 0, 500_000)).orderBy("chunk_num").collect()
+    assert [(str(r.start_date), str(r.end_date)) for r in plan] == [
+        ("2024-01-01 00:00:00", "2024-01-02 00:00:00"), ("2024-01-02 00:00:00", "2024-01-02 00:00:00.500000")
+    ]
+
+
+def test_append_refuses_a_stream_sink(spark, tmp_path):
+    import pytest
+
+    from tidemark.sinks import tables
+
+    (tmp_path / "_spark_metadata").mkdir()
+    with pytest.raises(ValueError, match="stream"):
+        tables.append(spark.range(1).selectExpr("id", "'20240101' AS date"), str(tmp_path))

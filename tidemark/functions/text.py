@@ -16,13 +16,13 @@ def clean_text(column: Column | str) -> Column:
     return F.replace(F.translate(column, "\n\r\t", "   "), F.lit("  "), F.lit(" "))
 
 
-# Fixed value: a line break or tab as JSON text writes it, not a backslash followed by a letter.
-ESCAPED_BREAK = r"(?<=(?:^|[^\\])(?:\\\\){0,50})\\[nrt]"
+# Fixed value: a line break or tab as JSON text writes it, after any number of escaped backslashes.
+ESCAPED_BREAK = r"(?<!\\)((?:\\\\)*+)\\[nrt]"
 
 
 def clean_json(text: Column) -> Column:
     """`clean_text` over all strings of compact JSON text (its keys included)."""
-    return F.replace(F.regexp_replace(text, ESCAPED_BREAK, " "), F.lit("  "), F.lit(" "))
+    return F.replace(F.regexp_replace(text, ESCAPED_BREAK, "$1 "), F.lit("  "), F.lit(" "))
 
 
 def clean_columns(df: DataFrame, *columns: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +19,8 @@ def plan_chunks(spark: SparkSession, start: datetime, end: datetime, hours: int
     """Consecutive chunks from `start`, the last one cut off at `end`; numbered from 1."""
     if hours <= 0:
         raise ValueError("chunk length must be positive")
-    seconds = int((end - start).total_seconds())
-    count = max(0, -(-seconds // (hours * 3600)))
-    first, last = (F.lit(t.strftime(LAYOUT)).cast("timestamp") for t in (start, end))
+    count = max(0, -((start - end) // timedelta(hours=hours)))
+    first, last = (F.lit(t.strftime(f"{LAYOUT}.%f")).cast("timestamp") for t in (start, end))
     begin = F.timestamp_add("HOUR", F.col("id") * hours, first)
     stop = F.least(F.timestamp_add("HOUR", (F.col("id") + 1) * hours, first), last)
     return spark.range(count).select(

@@ -87,7 +87,7 @@ def pivot_custom_fields(
     slots: int = 8,
     run_date: str | None = None,
     fill: bool = True,
-    max_fields: int = 10_000,
+    max_fields: int | None = None,
 ) -> DataFrame:
     """One text column per field id; of several slots with one id, the last counts.
 
@@ -98,8 +98,8 @@ def pivot_custom_fields(
     """
     used = present_slots(df, slots)
     if ids is None:
-        found = [row.field_id for row in field_ids(df, slots).limit(max_fields + 1).collect()]
-        if len(found) > max_fields:
+        found = [row.field_id for row in field_ids(df, slots).transform(lambda d: d if max_fields is None else d.limit(max_fields + 1)).collect()]
+        if max_fields is not None and len(found) > max_fields:
             raise ValueError(f"more than {max_fields} field ids; raise max_fields")
         ids = sorted(found)
     ids = [field_id for field_id in ids if field_id != NO_VALUE]

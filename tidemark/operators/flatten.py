@@ -118,19 +118,19 @@ def find_leaves(
     replace_separators: str | None = None,
     strict: bool = True,
     depth: int = 4,
-    max_columns: int = 10_000,
+    max_columns: int | None = None,
 ) -> list[Leaf]:
     """The distinct leaf paths of all records in `column`, sorted by name.
 
     `depth` is the first guess at the nesting; a pass that meets deeper records is
-    repeated with twice the depth.  More than `max_columns` paths is an error rather
-    than a partial result.
+    repeated with twice the depth.  More than `max_columns` paths, if it is given, is
+    an error rather than a partial result.
     """
     is_variant = isinstance(df.schema[column].dataType, T.VariantType)
     value = F.col(column) if is_variant else as_variant(F.col(column), strict)
     records = df.select(value.alias("value"))
     while True:
-        found = _leaf_rows(records, depth, embedded, clean, tuple(ignore_root_keys)).limit(2 * max_columns + 1).collect()
+        found = _leaf_rows(records, depth, embedded, clean, tuple(ignore_root_keys)).transform(lambda d: d if max_columns is None else d.limit(2 * max_columns + 1)).collect()
         if not any(row.kind == "deeper" for row in found):
             break
         depth *= 2
@@ -138,7 +138,7 @@ def find_leaves(
     for row in found:
         segments = tuple(s.key if s.key is not None else s.pos for s in row.segments)
         kinds[(row.embedded, segments)].add(row.kind)
-    if len(kinds) > max_columns:
+    if max_columns is not None and len(kinds) > max_columns:
         raise ValueError(f"more than {max_columns} distinct paths in {column}; raise max_columns")
 
     def name(segments: tuple) -> str:

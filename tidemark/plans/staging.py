@@ -8,20 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# The folder of a local application that has no setting.
+_OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Only a local session without the setting gets a temporary folder; a cluster
-    without it is a configuration error, since executors could not share the files.
+    Only a local application without the setting gets a temporary folder, one for all
+    its calls; a cluster without it is a configuration error, since executors could
+    not share the files.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    application = spark.sparkContext.applicationId
+    if application not in _OWN:
+        _OWN[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _OWN[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -42,6 +42,13 @@ def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
         spark.conf.set(DYNAMIC, before)
 
 
+def _refuse_stream_sink(spark: SparkSession, path: str) -> None:
+    """A folder that a streaming file sink keeps its own list of files for: readers would not see what is appended."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"{path} is written by a stream; rows appended to it would not be read back")
+
+
 def _save(
     df: DataFrame, target: str, mode: str, partition_by: tuple[str, ...], dynamic: bool, comments: dict[str, str] | None
 ) -> None:
@@ -50,6 +57,8 @@ def _save(
         df = df.hint("rebalance", *partition_by)
     if "/" not in target and (mode == "append" or dynamic) and df.sparkSession.catalog.tableExists(target):
         return _insert(df, target, overwrite=dynamic)
+    if "/" in target and mode == "append":
+        _refuse_stream_sink(df.sparkSession, target)
     writer = df.write.mode(mode).format("parquet").option("compression", "snappy")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
