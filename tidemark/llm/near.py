@@ -18,6 +18,8 @@ _RANDOM = np.random.default_rng(20240101)
 _BYTES = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 5
 _UNBASE = pow(_BASE, -1, 1 << 64)
+# Of a set's histogram, a power of two.
+_BUCKETS = 256
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -25,8 +27,9 @@ _WHITE[[32, 9, 10, 11, 12, 13]] = True
 @dataclass
 class Settings:
     """words a shingle; percent of similarity to link at; independent trees; levels of a tree; rows that a node is
-    compared exhaustively from; the estimate from which a pair is confirmed on its full sets; trees of the first round;
-    buckets of the filter on texts that are fetched."""
+    compared exhaustively from; the estimate from which a pair may be confirmed on its full sets; how many standard
+    deviations more than the threshold allows two sets may seem to differ by; trees of the first round; buckets of the
+    filter on texts that are fetched."""
 
     words: int = 5
     percent: int = 80
@@ -34,6 +37,7 @@ class Settings:
     levels: int = 8
     small: int = 64
     estimate: float = 0.64
+    deviations: float = 5.0
     first_trees: int = 4
     buckets: int = 1 << 18
 
@@ -108,24 +112,32 @@ def signature(shingles: np.ndarray, tokens: int) -> np.ndarray:
     return (mix(best) >> np.uint64(32)).astype("<u4")
 
 
+def profile(shingles: np.ndarray, tokens: np.ndarray) -> bytes:
+    """What a pair is weighed by before its full sets are: a byte of each minwise token, then the set's histogram modulo 256."""
+    histogram = np.bincount((shingles & np.uint64(_BUCKETS - 1)).astype(np.int64), minlength=_BUCKETS)
+    return tokens.astype(np.uint8).tobytes() + histogram.astype(np.uint8).tobytes()
+
+
 def sketched(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, mark (of the text), n, cls (a digest of the set; null for an empty set), tokens: one row per row of `docs`."""
+    """doc_id, mark (of the text), n, cls (a digest of the set; null for an empty set), tokens, profile: one row per row of `docs`."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(s.words)
         for batch in batches:
-            sizes, classes, tokens = [], [], []
+            sizes, classes, tokens, profiles = [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingler(text)
                 sizes.append(len(found))
                 classes.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                tokens.append(signature(found, s.tokens).tobytes() if len(found) else None)
+                chosen = signature(found, s.tokens)
+                tokens.append(chosen.tobytes() if len(found) else None)
+                profiles.append(profile(found, chosen) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(tokens, pa.binary())],
-                ["doc_id", "mark", "n", "cls", "tokens"],
+                [batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), *(pa.array(c, pa.binary()) for c in (classes, tokens, profiles))],
+                ["doc_id", "mark", "n", "cls", "tokens", "profile"],
             )
 
-    return _texts(docs).mapInArrow(sketch, "doc_id long, mark long, n long, cls binary, tokens binary")
+    return _texts(docs).mapInArrow(sketch, "doc_id long, mark long, n long, cls binary, tokens binary, profile binary")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -166,6 +178,21 @@ def similarity(sketches: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (agree - 1 / 256) / (1 - 1 / 256)
 
 
+def may_reach(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, s: Settings) -> np.ndarray:
+    """Which pairs may reach the threshold, by their histograms (a row a pair) and the sizes of their sets.
+
+    What two sets share cancels out in the difference of their histograms.  Its absolute
+    sum is never more than the number of elements they differ in; its squared sum
+    is close to that number where both have so many that buckets collide.  Counts
+    are kept modulo 256: a difference that wraps looks smaller, never larger.
+    """
+    most = (n + m) * (100 - s.percent) // (100 + s.percent)
+    apart = (x - y).view(np.int8).astype(np.int32)
+    drift = (n - m) / _BUCKETS
+    spread = np.sqrt(2.0 * most * most / _BUCKETS + most + 4 * drift * drift * most)
+    return (np.abs(apart).sum(axis=1) <= most) & ((apart * apart).sum(axis=1) <= most + drift * drift * _BUCKETS + s.deviations * spread)
+
+
 def forest(estimates: np.ndarray, least: float) -> list[tuple[int, int]]:
     """The pairs of a maximum spanning forest, by estimate."""
     i, j = np.nonzero(np.triu(estimates >= least, 1))
@@ -245,7 +272,7 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     the last level every node left is compared, the rows outside its largest
     component in several lots.
     """
-    owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "n", "tokens")
+    owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "n", "tokens", "profile")
     owned = staged(owned, "near-owned")
     found, deep = None, None
     for level in range(1, s.levels + 1):
@@ -280,8 +307,8 @@ def _compared(labelled: DataFrame, ready: DataFrame, owned: DataFrame, s: Settin
     )
     asking = rows.filter("few").select("node", "cls", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), own_lot.alias("lot"), F.lit(True).alias("asks"))
     meeting = members.withColumn("piece", F.col("piece").cast("long")).unionByName(asking.select("node", "cls", F.col("piece").cast("long").alias("piece"), F.col("lot").cast("int").alias("lot"), "asks"))
-    # Tokens come last, to the rows that are compared.
-    meeting = meeting.join(owned, "cls")
+    # Profiles come last, to the rows that are compared.
+    meeting = meeting.join(owned.drop("tokens"), "cls")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
@@ -291,16 +318,19 @@ def _compared(labelled: DataFrame, ready: DataFrame, owned: DataFrame, s: Settin
             others = [r for r in rows if not r[3]]
             if not asks or not others:
                 return [], []
-            x, y = (np.frombuffer(b"".join(r[2] for r in part), "<u4").reshape(len(part), -1).astype(np.uint8) for part in (asks, others))
+            x, y = (np.frombuffer(b"".join(r[2] for r in part), np.uint8).reshape(len(part), -1) for part in (asks, others))
             # Sets whose sizes differ too much cannot reach the threshold.
             n, m = (np.array([r[4] for r in part], np.int64) for part in (asks, others))
             sizes = 100 * np.minimum(n[:, None], m[None]) >= s.percent * np.maximum(n[:, None], m[None])
-            found = [(i, j) for i, j in zip(*np.nonzero(sizes & (similarity(x, y) >= s.estimate))) if asks[i][1] != others[j][1]]
-            return [asks[i][0] for i, _ in found], [others[j][0] for _, j in found]
+            i, j = np.nonzero(sizes & (similarity(x[:, : s.tokens], y[:, : s.tokens]) >= s.estimate))
+            step = 1 << 14
+            reach = [may_reach(x[i[k : k + step], s.tokens :], y[j[k : k + step], s.tokens :], n[i[k : k + step]], m[j[k : k + step]], s) for k in range(0, len(i), step)]
+            found = [(p, q) for p, q, r in zip(i, j, np.concatenate(reach) if reach else ()) if r and asks[p][1] != others[q][1]]
+            return [asks[p][0] for p, _ in found], [others[q][0] for _, q in found]
 
         for batch in batches:
             a, b = [], []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("node", "piece", "lot", "cls", "component", "tokens", "asks", "n"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("node", "piece", "lot", "cls", "component", "profile", "asks", "n"))):
                 if row[:3] != key:
                     x, y = flush(group)
                     a += x
@@ -372,7 +402,7 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     s = settings or Settings()
     rows = staged(sketched(docs, s), "near-rows")
     full = rows.filter("cls IS NOT NULL")
-    nodes = full.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first"), F.any_value("tokens").alias("tokens"), F.max("n").alias("n"))
+    nodes = full.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first"), F.any_value("tokens").alias("tokens"), F.any_value("profile").alias("profile"), F.max("n").alias("n"))
     nodes = staged(nodes, "near-classes")
     links = staged(confirmed(docs, nodes, staged(first_pairs(nodes, s), "near-pairs"), s), "near-links")
     labels = staged(components(links), "near-labels")
