@@ -26,8 +26,8 @@ _WHITE[[32, 9, 10, 11, 12, 13]] = True
 
 @dataclass
 class Settings:
-    """words a shingle; percent of similarity to link at; independent trees; levels of a tree; rows that a node is
-    compared exhaustively from; the estimate from which a pair may be confirmed on its full sets; how many standard
+    """words a shingle; percent of similarity to link at; independent trees; levels of a tree; the level whose
+    nodes are looked at first; rows that a node is compared exhaustively from; the estimate from which a pair may be confirmed on its full sets; how many standard
     deviations more than the threshold allows two sets may seem to differ by; trees of the first round; buckets of the
     filter on texts that are fetched."""
 
@@ -35,6 +35,7 @@ class Settings:
     percent: int = 80
     trees: int = 12
     levels: int = 8
+    first_level: int = 2
     small: int = 64
     estimate: float = 0.64
     deviations: float = 5.0
@@ -275,7 +276,7 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "n", "tokens", "profile")
     owned = staged(owned, "near-owned")
     found, deep = None, None
-    for level in range(1, s.levels + 1):
+    for level in range(s.first_level, s.levels + 1):
         labelled = paths(owned, s, level, s.trees)
         if deep is not None:
             labelled = labelled.join(deep.select(F.col("node").alias("above")), "above", "left_semi")
@@ -393,7 +394,7 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     similar; the second looks, in all trees, for links between different components,
     so that a large group of near copies never meets itself pair by pair.  Candidates
     of both are confirmed on full sets.  A pair at the threshold is missed by a tree
-    of depth d with probability 1 - 0.8^d: by all 12 trees below 1e-8 at depth 1 and 2e-4 at depth 3.
+    of depth d with probability 1 - 0.8^d: by all 12 trees 5e-6 at depth 2 and 2e-4 at depth 3.
 
     Rows that repeat a doc_id with different texts are linked each by their own text.
     A null doc_id is never the smallest unless all are null; `kept` says that doc_id
