@@ -271,11 +271,12 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     rows branch on by their next minwise token.  In a compared node these few meet
     all others, in pieces of fixed size; rows of one component need not meet.  At
     the last level every node left is compared, the rows outside its largest
-    component in several lots.
+    component in several lots.  The levels only say who meets whom; profiles are
+    joined to that once, for all of them.
     """
     owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "n", "tokens", "profile")
     owned = staged(owned, "near-owned")
-    found, deep = None, None
+    met, deep = None, None
     for level in range(s.first_level, s.levels + 1):
         labelled = paths(owned, s, level, s.trees)
         if deep is not None:
@@ -285,17 +286,18 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
         mixed = staged(sizes.select("node", "all", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("rest")).filter("rest > 0"), "near-nodes")
         last = level == s.levels
         ready = mixed if last else mixed.filter(F.col("rest") <= s.small)
-        pairs = staged(_compared(labelled, ready, owned, s).distinct(), "near-pairs")
-        found = pairs if found is None else found.union(pairs)
+        meeting = staged(_meeting(labelled, ready, s), "near-meeting")
+        met = meeting if met is None else met.union(meeting)
         if last:
             break
         deep = mixed.filter(F.col("rest") > s.small)
         if deep.isEmpty():
             break
-    return found.distinct()
+    return staged(_compared(met, owned, s).distinct(), "near-pairs")
 
 
-def _compared(labelled: DataFrame, ready: DataFrame, owned: DataFrame, s: Settings) -> DataFrame:
+def _meeting(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
+    """node, piece, lot, cls, asks: in each of a node's pieces and lots, the rows that ask are compared with the others."""
     piece, lot = 1024, s.small
     rows = labelled.join(ready, "node").withColumn("few", F.col("component") != F.col("largest"))
     pieces = F.ceil(F.col("all") / piece).cast("int")
@@ -307,8 +309,12 @@ def _compared(labelled: DataFrame, ready: DataFrame, owned: DataFrame, s: Settin
         "node", "cls", F.pmod(F.xxhash64(place), pieces).alias("piece"), F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(False).alias("asks")
     )
     asking = rows.filter("few").select("node", "cls", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), own_lot.alias("lot"), F.lit(True).alias("asks"))
-    meeting = members.withColumn("piece", F.col("piece").cast("long")).unionByName(asking.select("node", "cls", F.col("piece").cast("long").alias("piece"), F.col("lot").cast("int").alias("lot"), "asks"))
-    # Profiles come last, to the rows that are compared.
+    return members.withColumn("piece", F.col("piece").cast("long")).unionByName(asking.select("node", "cls", F.col("piece").cast("long").alias("piece"), F.col("lot").cast("int").alias("lot"), "asks"))
+
+
+def _compared(meeting: DataFrame, owned: DataFrame, s: Settings) -> DataFrame:
+    """The pairs of different components that meet and may reach the threshold."""
+    # Profiles go only to the rows that are compared.
     meeting = meeting.join(owned.drop("tokens"), "cls")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
