@@ -53,6 +53,17 @@ def test_cdc_range_includes_both_ends(spark):
     assert [r.id for r in reads.cdc_range(df, "at", start, end, half_open=True).collect()] == [1, 2]
 
 
+def test_cdc_range_of_text_compares_instants(spark, tmp_path):
+    texts = ["2024-01-20T10:00:00Z", "2024-01-05T03:00:00Z", "2024-01-05T06:00:00.000Z", "2024-01-20T23:30:00+06:00", "2024-01-20T18:00:00.5Z", "2024-01-20 18:00:00", "junk", None]
+    spark.createDataFrame(list(enumerate(texts)), "id int, at string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for start, end in [(datetime(2024, 1, 5, 6), datetime(2024, 1, 20, 18)), ("2024-01-05T06:00:00+00:00", "2024-01-20T18:00:00Z")]:
+        assert [r.id for r in reads.cdc_range(df, "at", start, end).collect()] == [2, 0, 3, 5]
+        assert [r.id for r in reads.cdc_range(df, "at", start, end, half_open=True, iso_text=True).collect()] == [2, 0, 3]
+    plan = reads.cdc_range(df, "at", start, end, iso_text=True)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(at,2024-01-03)" in plan and "LessThan(at,2024-01-23)" in plan
+
+
 def test_cdc_range_reaches_the_scan(spark, tmp_path):
     changes(spark).write.parquet(str(tmp_path / "c"))
     df = reads.cdc_range(spark.read.parquet(str(tmp_path / "c")), "at", "2024-01-01", "2024-01-02", ordered=False)

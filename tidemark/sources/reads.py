@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.timestamps import try_parse_timestamp
+
 # The categories a full read asks for one after another.
 LEDGER_TYPES = ("ASSET", "LIABILITY", "EQUITY", "INCOME", "EXPENSE")
 LOAN_STATES = (
@@ -57,16 +59,34 @@ def bound(df: DataFrame, name: str, value: datetime | str) -> Column:
 
 
 def cdc_range(
-    df: DataFrame, cdc: str, start: datetime | str, end: datetime | str, *, ordered: bool = True, half_open: bool = False
+    df: DataFrame,
+    cdc: str,
+    start: datetime | str,
+    end: datetime | str,
+    *,
+    ordered: bool = True,
+    half_open: bool = False,
+    iso_text: bool = False,
 ) -> DataFrame:
     """Changes between two instants, both included, in the order they happened.
 
-    `half_open` leaves out the end, so that consecutive ranges share no row.
+    `half_open` leaves out the end, so that consecutive ranges share no row.  Text is
+    compared and ordered by the instant it names; text that names none is in no
+    range.  `iso_text` says that all of it starts with yyyy-MM-dd: then a range of
+    whole days, wide enough for any offset, reaches the scan as well.
     """
-    low, high = bound(df, cdc, start), bound(df, cdc, end)
-    inside = (F.col(cdc) >= low) & ((F.col(cdc) < high) if half_open else (F.col(cdc) <= high))
+    if not isinstance(df.schema[cdc].dataType, T.StringType):
+        at, low, high = F.col(cdc), bound(df, cdc, start), bound(df, cdc, end)
+    else:
+        at = try_parse_timestamp(F.col(cdc))
+        low, high = (F.lit(v if isinstance(v, str) else v.isoformat(" ")).cast("timestamp") for v in (start, end))
+        if iso_text:
+            first, last = (datetime.fromisoformat(v) if isinstance(v, str) else v for v in (start, end))
+            days = (first.date() - timedelta(days=2)).isoformat(), (last.date() + timedelta(days=3)).isoformat()
+            df = df.filter((F.col(cdc) >= days[0]) & (F.col(cdc) < days[1]))
+    inside = (at >= low) & ((at < high) if half_open else (at <= high))
     rows = df.filter(inside)
-    return rows.orderBy(cdc) if ordered else rows
+    return rows.orderBy(at) if ordered else rows
 
 
 def read_stream(
