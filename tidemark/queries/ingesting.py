@@ -85,6 +85,15 @@ def cdc_range_query(spark, sf_dir):
     return cdc_range(table(spark, sf_dir, "events"), "ts", FROM, TO).select("event_id", stamp("ts").alias("ts"))
 
 
+@query("cdc_range_text", f"SELECT event_id FROM events WHERE ts BETWEEN TIMESTAMP '{FROM}' AND TIMESTAMP '{TO}'")
+def cdc_range_text_query(spark, sf_dir):
+    # The same instants as ISO text, in UTC for every second event and six hours ahead for the others.
+    utc = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    ahead = F.date_format(F.col("ts") + F.expr("INTERVAL 6 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+06:00'")
+    rows = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 2 == 0, utc).otherwise(ahead).alias("ts"))
+    return cdc_range(rows, "ts", FROM, TO, iso_text=True).select("event_id")
+
+
 @query(
     "read_dispatch",
     f"""
