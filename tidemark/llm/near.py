@@ -103,42 +103,42 @@ class Shingler:
 
 
 def signature(shingles: np.ndarray, tokens: int) -> np.ndarray:
-    """The minwise token of a set under each of `tokens` hash functions, as 32-bit numbers."""
+    """The minwise token of a set under each of `tokens` hash functions, as 16-bit numbers."""
     random = np.random.default_rng(7)
     factors = random.integers(0, 1 << 63, tokens, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     best = np.full(tokens, (1 << 64) - 1, np.uint64)
     for i in range(0, len(shingles), 4096):
         part = shingles[i : i + 4096, None] * factors
         best = np.minimum(best, (part ^ (part >> np.uint64(32))).min(axis=0))
-    return (mix(best) >> np.uint64(32)).astype("<u4")
+    return (mix(best) >> np.uint64(48)).astype(np.uint16)
 
 
-def profile(shingles: np.ndarray, tokens: np.ndarray) -> bytes:
-    """What a pair is weighed by before its full sets are: a byte of each minwise token, then the set's histogram modulo 256."""
-    histogram = np.bincount((shingles & np.uint64(_BUCKETS - 1)).astype(np.int64), minlength=_BUCKETS)
-    return tokens.astype(np.uint8).tobytes() + histogram.astype(np.uint8).tobytes()
+def histogram(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles end in each byte, modulo 256."""
+    return np.bincount((shingles & np.uint64(_BUCKETS - 1)).astype(np.int64), minlength=_BUCKETS).astype(np.uint8)
 
 
 def sketched(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, mark (of the text), n, cls (a digest of the set; null for an empty set), tokens, profile: one row per row of `docs`."""
+    """One row per row of `docs`: doc_id, mark (of the text), n, and of a set that is not empty cls (a digest), high and low (bytes of its tokens), histogram."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(s.words)
         for batch in batches:
-            sizes, classes, tokens, profiles = [], [], [], []
+            sizes, classes, high, low, histograms = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingler(text)
                 sizes.append(len(found))
                 classes.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 chosen = signature(found, s.tokens)
-                tokens.append(chosen.tobytes() if len(found) else None)
-                profiles.append(profile(found, chosen) if len(found) else None)
+                high.append((chosen >> 8).astype(np.uint8).tobytes() if len(found) else None)
+                low.append(chosen.astype(np.uint8).tobytes() if len(found) else None)
+                histograms.append(histogram(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), *(pa.array(c, pa.binary()) for c in (classes, tokens, profiles))],
-                ["doc_id", "mark", "n", "cls", "tokens", "profile"],
+                [batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int64()), *(pa.array(c, pa.binary()) for c in (classes, high, low, histograms))],
+                ["doc_id", "mark", "n", "cls", "high", "low", "histogram"],
             )
 
-    return _texts(docs).mapInArrow(sketch, "doc_id long, mark long, n long, cls binary, tokens binary, profile binary")
+    return _texts(docs).mapInArrow(sketch, "doc_id long, mark long, n long, cls binary, high binary, low binary, histogram binary")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -146,28 +146,28 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def _tokens(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), -1)
+def _tokens(batch: pa.RecordBatch) -> np.ndarray:
+    high, low = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("high", "low"))
+    return high.astype(np.uint16) << 8 | low
 
 
-def paths(nodes: DataFrame, s: Settings, level: int, trees: int) -> DataFrame:
-    """cls, component, n, tree nodes `above` and `node` (hashes of the minwise tokens chosen so far) at a level, for each tree."""
+def paths(owned: DataFrame, s: Settings) -> DataFrame:
+    """id, component, the tree node (a hash of the minwise tokens chosen so far) at the first level and the tokens left, for each tree."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = _tokens(batch.column("tokens"))
-            for tree in range(trees):
+            tokens = _tokens(batch)
+            for tree in range(s.trees):
                 node = np.full(len(tokens), tree + 1, np.uint64)
-                for i in range(level):
-                    above, node = node, mix(node * np.uint64(0xD6E8FEB86659FD93) + tokens[:, tree * s.levels + i])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("cls"), batch.column("component"), batch.column("n"), pa.array(above.view(np.int64)), pa.array(node.view(np.int64))],
-                    ["cls", "component", "n", "above", "node"],
-                )
+                first = tree * s.levels + s.first_level
+                for i in range(tree * s.levels, first):
+                    node = mix(node * np.uint64(0xD6E8FEB86659FD93) + tokens[:, i])
+                left = [t.tobytes() for t in tokens[:, first : (tree + 1) * s.levels]]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("component"), pa.array(node.view(np.int64)), pa.array(left, pa.binary())], ["id", "component", "node", "left"])
 
-    return nodes.select("cls", "component", "n", "tokens").mapInArrow(choose, "cls binary, component binary, n long, above long, node long")
+    return owned.select("id", F.xxhash64("component").alias("component"), "high", "low").mapInArrow(choose, "id long, component long, node long, left binary")
 
 
 def similarity(sketches: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -230,13 +230,12 @@ def first_pairs(nodes: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tokens = _tokens(batch.column("tokens"))
-            sketch = pa.array([t.astype(np.uint8).tobytes() for t in tokens], pa.binary())
+            tokens = _tokens(batch)
             for tree in range(s.first_trees):
-                chosen = tokens[:, tree * s.levels : (tree + 1) * s.levels].astype(">u4")
+                chosen = tokens[:, tree * s.levels : (tree + 1) * s.levels].astype(">u2")
                 # The first token decides the task's share by hash, the rest the order.
                 lead = mix(chosen[:, 0].astype(np.uint64) + np.uint64(tree << 40)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(lead), pa.array([c.tobytes() for c in chosen], pa.binary()), sketch], ["cls", "lead", "path", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(lead), pa.array([c.tobytes() for c in chosen], pa.binary()), batch.column("low")], ["cls", "lead", "path", "sketch"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, bytes, bytes]] = []
@@ -260,7 +259,7 @@ def first_pairs(nodes: DataFrame, s: Settings) -> DataFrame:
         if len(held) > 1:
             yield flush(held)
 
-    rows = nodes.select("cls", "tokens").mapInArrow(order, "cls binary, lead long, path binary, sketch binary")
+    rows = nodes.select("cls", "high", "low").mapInArrow(order, "cls binary, lead long, path binary, sketch binary")
     return rows.repartitionByRange("lead", "path").sortWithinPartitions("lead", "path").mapInArrow(link, "a binary, b binary").distinct()
 
 
@@ -271,51 +270,52 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     rows branch on by their next minwise token.  In a compared node these few meet
     all others, in pieces of fixed size; rows of one component need not meet.  At
     the last level every node left is compared, the rows outside its largest
-    component in several lots.  The levels only say who meets whom; profiles are
-    joined to that once, for all of them.
+    component in several lots.  Rows whose node has one component leave the tree,
+    so that a level handles only what the one above left over.  The levels only say
+    who meets whom, by 64-bit hashes of classes and components; what pairs are
+    weighed by is joined to that once, for all of them.
     """
-    owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cls", F.coalesce("component", "cls").alias("component"), "n", "tokens", "profile")
-    owned = staged(owned, "near-owned")
-    met, deep = None, None
+    owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    owned = staged(owned.select(F.xxhash64("cls").alias("id"), "cls", F.coalesce("component", "cls").alias("component"), "n", "high", "low", "histogram"), "near-owned")
+    rows, met = paths(owned, s), None
     for level in range(s.first_level, s.levels + 1):
-        labelled = paths(owned, s, level, s.trees)
-        if deep is not None:
-            labelled = labelled.join(deep.select(F.col("node").alias("above")), "above", "left_semi")
-        shares = labelled.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
+        ends = rows.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        rows = staged(rows.join(ends.filter("least < most").select("node"), "node", "left_semi"), "near-paths")
+        shares = rows.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
         sizes = shares.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
-        mixed = staged(sizes.select("node", "all", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("rest")).filter("rest > 0"), "near-nodes")
+        sizes = staged(sizes.select("node", "all", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("rest")), "near-nodes")
         last = level == s.levels
-        ready = mixed if last else mixed.filter(F.col("rest") <= s.small)
-        meeting = staged(_meeting(labelled, ready, s), "near-meeting")
+        meeting = staged(_meeting(rows, sizes if last else sizes.filter(F.col("rest") <= s.small), s), "near-meeting")
         met = meeting if met is None else met.union(meeting)
-        if last:
-            break
-        deep = mixed.filter(F.col("rest") > s.small)
-        if deep.isEmpty():
+        deep = sizes.filter(F.col("rest") > s.small)
+        if last or deep.isEmpty():
             break
+        branch = F.xxhash64("node", F.substring("left", 1, 2)).alias("node")
+        rows = rows.join(deep.select("node"), "node", "left_semi").select("id", "component", branch, F.expr("substring(left, 3)").alias("left"))
+        rows = staged(rows, "near-paths")
     return staged(_compared(met, owned, s).distinct(), "near-pairs")
 
 
 def _meeting(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
-    """node, piece, lot, cls, asks: in each of a node's pieces and lots, the rows that ask are compared with the others."""
+    """node, piece, lot, id, asks: in each of a node's pieces and lots, the rows that ask are compared with the others."""
     piece, lot = 1024, s.small
     rows = labelled.join(ready, "node").withColumn("few", F.col("component") != F.col("largest"))
     pieces = F.ceil(F.col("all") / piece).cast("int")
     lots = F.ceil(F.col("rest") / lot).cast("int")
-    place = F.xxhash64("cls", "node")
+    place = F.xxhash64("id", "node")
     own_lot = F.pmod(place, lots)
     # Every row is in one piece, with each lot; a row of the few is also asked for in its lot, with each piece.
     members = rows.select(
-        "node", "cls", F.pmod(F.xxhash64(place), pieces).alias("piece"), F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(False).alias("asks")
+        "node", "id", F.pmod(F.xxhash64(place), pieces).alias("piece"), F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(False).alias("asks")
     )
-    asking = rows.filter("few").select("node", "cls", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), own_lot.alias("lot"), F.lit(True).alias("asks"))
-    return members.withColumn("piece", F.col("piece").cast("long")).unionByName(asking.select("node", "cls", F.col("piece").cast("long").alias("piece"), F.col("lot").cast("int").alias("lot"), "asks"))
+    asking = rows.filter("few").select("node", "id", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"), own_lot.alias("lot"), F.lit(True).alias("asks"))
+    return members.withColumn("piece", F.col("piece").cast("long")).unionByName(asking.select("node", "id", F.col("piece").cast("long").alias("piece"), F.col("lot").cast("int").alias("lot"), "asks"))
 
 
 def _compared(meeting: DataFrame, owned: DataFrame, s: Settings) -> DataFrame:
     """The pairs of different components that meet and may reach the threshold."""
     # Profiles go only to the rows that are compared.
-    meeting = meeting.join(owned.drop("tokens"), "cls")
+    meeting = meeting.join(owned.select("id", "cls", "component", "n", F.concat("low", "histogram").alias("profile")), "id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
@@ -409,7 +409,7 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     s = settings or Settings()
     rows = staged(sketched(docs, s), "near-rows")
     full = rows.filter("cls IS NOT NULL")
-    nodes = full.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first"), F.any_value("tokens").alias("tokens"), F.any_value("profile").alias("profile"), F.max("n").alias("n"))
+    nodes = full.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first"), *(F.any_value(c).alias(c) for c in ("high", "low", "histogram")), F.max("n").alias("n"))
     nodes = staged(nodes, "near-classes")
     links = staged(confirmed(docs, nodes, staged(first_pairs(nodes, s), "near-pairs"), s), "near-links")
     labels = staged(components(links), "near-labels")
