@@ -268,3 +268,16 @@ def test_only_staged_tables_are_released(spark, tmp_path):
         spark.read.parquet(path)
     with pytest.raises(ValueError, match="not a staged table"):
         staging.release(spark, str(tmp_path))
+
+
+def test_append_keeps_the_types_of_the_table(spark, tmp_path):
+    path = str(tmp_path / "typed")
+    tables.append(spark.createDataFrame([(7, "2024-01-01")], "n long, date string"), path)
+    tables.append(spark.createDataFrame([("8", "2024-01-02", 1.5)], "n string, date string, extra double"), path)
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    assert dict(rows.dtypes)["n"] == "bigint"
+    assert {r["n"] for r in rows.collect()} == {7, 8}
+    for value in ("7.5", 7.5):
+        with pytest.raises(Exception, match="does not fit"):
+            tables.append(spark.createDataFrame([(value, "2024-01-03")], ["n", "date"]), path)
+    assert rows.count() == 2

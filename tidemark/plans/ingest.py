@@ -168,20 +168,22 @@ def ingest(
     # Staged, so that the landed files are read and parsed once: looking for empty
     # columns and writing each read the batch again.
     path, count = new_path(spark, "batch"), 0
-    batch = stage(wanted, path=path)
-    if not batch.isEmpty():
-        shaped, _ = process_records(
-            batch,
-            run_ts,
-            cdc_field=event.cdc_field,
-            renames=event.rename_columns,
-            catalog=None if event.auto_schema else catalog,
-        )
-        # Counted while it is written, not in a second pass.
-        written = Observation()
-        tables.append(shaped.observe(written, F.count(F.lit(1)).alias("n")), target)
-        count = written.get["n"]
-    release(spark, path)
+    try:
+        batch = stage(wanted, path=path)
+        if not batch.isEmpty():
+            shaped, _ = process_records(
+                batch,
+                run_ts,
+                cdc_field=event.cdc_field,
+                renames=event.rename_columns,
+                catalog=None if event.auto_schema else catalog,
+            )
+            # Counted while it is written, not in a second pass.
+            written = Observation()
+            tables.append(shaped.observe(written, F.count(F.lit(1)).alias("n")), target)
+            count = written.get["n"]
+    finally:
+        release(spark, path)
     summary = (event.table_name, event.endpoint, event.cdc_field, event.start_date, event.end_date, count)
     return spark.createDataFrame([summary], SUMMARY_SCHEMA)
 

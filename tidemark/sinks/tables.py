@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,34 @@ def _refuse_stream_sink(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} is written by a stream; rows appended to it would not be read back")
 
 
+def _fitted(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> DataFrame:
+    """`df` with the types that the files of a table by path have for its columns; a value that does not fit fails the write.
+
+    The types are those of one file; columns it lacks are written as they are.
+    """
+    try:
+        known = {f.name: f.dataType for f in df.sparkSession.read.parquet(path).schema}
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return df
+        raise
+    simple = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    changed = {}
+    for f in df.schema:
+        kind = known.get(f.name)
+        if f.name in partition_by or kind is None or kind == f.dataType or not (isinstance(kind, simple) and isinstance(f.dataType, simple)):
+            continue
+        column = F.col(f"`{f.name.replace('`', '``')}`")
+        cast = column.cast(kind)
+        if isinstance(kind, T.NumericType) and isinstance(f.dataType, T.NumericType):
+            misfit = column.isNotNull() & ~cast.cast(f.dataType).eqNullSafe(column)
+        else:
+            misfit = column.isNotNull() & column.try_cast(kind).isNull()
+        text = F.concat(F.lit(f"{f.name}: "), column.cast("string"), F.lit(f" does not fit {kind.simpleString()}"))
+        changed[f.name] = F.when(misfit, F.raise_error(text)).otherwise(cast)
+    return df.withColumns(changed) if changed else df
+
+
 def _save(
     df: DataFrame, target: str, mode: str, partition_by: tuple[str, ...], dynamic: bool, comments: dict[str, str] | None
 ) -> None:
@@ -59,6 +88,7 @@ def _save(
         return _insert(df, target, overwrite=dynamic)
     if "/" in target and mode == "append":
         _refuse_stream_sink(df.sparkSession, target)
+        df = _fitted(df, target, partition_by)
     writer = df.write.mode(mode).format("parquet").option("compression", "snappy")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
