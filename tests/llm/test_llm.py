@@ -170,6 +170,19 @@ def test_near_group_of_many_near_copies(spark):
     assert found == {i: root(i) for i in range(300)}
 
 
+def test_near_pairs_of_deep_nodes(spark):
+    # All share a long passage, so nodes stay crowded down to the last level, where 12 trees miss one in ten.
+    shared, texts = " ".join(f"w{i}" for i in range(400)), []
+    for i in range(120):
+        common = " ".join(f"c{i}_{k}" for k in range(22))
+        texts += [" ".join([shared, common, *(f"{side}{i}_{k}" for k in range(48))]) for side in "ab"]
+    sets = [shingles(t, 2) for t in texts]
+    linked = [i for i in range(0, 240, 2) if jaccard(sets[i], sets[i + 1]) >= 0.8]
+    assert len(linked) == 120 and jaccard(sets[0], sets[2]) < 0.8
+    found = {r["doc_id"]: r["component_id"] for r in near.near_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), near.Settings(words=2, small=4)).collect()}
+    assert [i for i in linked if found[i + 1] != i] == []
+
+
 def test_histograms_never_turn_down_a_link():
     random, s = np.random.default_rng(3), near.Settings()
     for size, changed in [(1, 0), (5, 0), (40, 4), (300, 30), (300, 33), (40_000, 4_400), (3_000_000, 300_000)]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ class Settings:
     """words a shingle; percent of similarity to link at; independent trees; levels of a tree; the level whose
     nodes are looked at first; rows that a node is compared exhaustively from; the estimate from which a pair may be confirmed on its full sets; how many standard
     deviations more than the threshold allows two sets may seem to differ by; trees of the first round; buckets of the
-    filter on texts that are fetched."""
+    filter on texts that are fetched; the share of pairs at the threshold that the trees may miss."""
 
     words: int = 5
     percent: int = 80
@@ -41,11 +42,16 @@ class Settings:
     deviations: float = 5.0
     first_trees: int = 4
     buckets: int = 1 << 18
+    miss: float = 2e-4
 
     @property
     def tokens(self) -> int:
         return self.trees * self.levels
 
+    def log_miss(self, depth: int) -> float:
+        """Logarithm of the probability that a tree looked at from `depth` on misses a pair at the threshold."""
+        return math.log(max(1e-300, 1 - (self.percent / 100) ** depth))
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -102,9 +108,9 @@ class Shingler:
         return np.unique(found)
 
 
-def signature(shingles: np.ndarray, tokens: int) -> np.ndarray:
-    """The minwise token of a set under each of `tokens` hash functions, as 16-bit numbers."""
-    random = np.random.default_rng(7)
+def signature(shingles: np.ndarray, tokens: int, turn: int = 0) -> np.ndarray:
+    """The minwise token of a set under each of `tokens` hash functions, others each `turn`, as 16-bit numbers."""
+    random = np.random.default_rng(7 + turn)
     factors = random.integers(0, 1 << 63, tokens, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     best = np.full(tokens, (1 << 64) - 1, np.uint64)
     for i in range(0, len(shingles), 4096):
@@ -263,8 +269,14 @@ def first_pairs(nodes: DataFrame, s: Settings) -> DataFrame:
     return rows.repartitionByRange("lead", "path").sortWithinPartitions("lead", "path").mapInArrow(link, "a binary, b binary").distinct()
 
 
-def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """Pairs of different components, from all trees, that may reach the threshold.
+def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings, more: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pairs of different components, from `trees` trees, that may reach the threshold; cls and lost of the rows that need more trees.
+
+    `more` (cls, lost, path_high, path_low) has the rows of further trees and their
+    tokens; without it, all rows and their first tokens are taken.  lost is the logarithm
+    of the probability that all of a row's trees so far miss a pair at the threshold, by
+    the depth at which each was compared or had one component; rows stay while it
+    is above that of `miss`.
 
     A node is compared once the rows outside its largest component are few; else its
     rows branch on by their next minwise token.  In a compared node these few meet
@@ -276,8 +288,12 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
     weighed by is joined to that once, for all of them.
     """
     owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    owned = staged(owned.select(F.xxhash64("cls").alias("id"), "cls", F.coalesce("component", "cls").alias("component"), "n", "high", "low", "histogram"), "near-owned")
-    rows, met = paths(owned, s), None
+    columns = [F.xxhash64("cls").alias("id"), "cls", F.coalesce("component", "cls").alias("component"), "n", "high", "low", "histogram"]
+    if more is not None:
+        owned, columns = owned.join(more, "cls"), [*columns, "lost", "path_high", "path_low"]
+    owned = staged(owned.select(*columns), "near-owned")
+    chosen = owned if more is None else owned.select("id", "component", F.col("path_high").alias("high"), F.col("path_low").alias("low"))
+    rows, met, deeper = paths(chosen, s), None, None
     for level in range(s.first_level, s.levels + 1):
         ends = rows.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"))
         rows = staged(rows.join(ends.filter("least < most").select("node"), "node", "left_semi"), "near-paths")
@@ -293,7 +309,15 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
         branch = F.xxhash64("node", F.substring("left", 1, 2)).alias("node")
         rows = rows.join(deep.select("node"), "node", "left_semi").select("id", "component", branch, F.expr("substring(left, 3)").alias("left"))
         rows = staged(rows, "near-paths")
-    return staged(_compared(met, owned, s).distinct(), "near-pairs")
+        gone = rows.groupBy("id").agg((F.count(F.lit(1)) * (s.log_miss(level + 1) - s.log_miss(level))).alias("by"))
+        deeper = gone if deeper is None else deeper.union(gone)
+    pairs = staged(_compared(met, owned, s).distinct(), "near-pairs")
+    if deeper is None:
+        return pairs, nodes.select("cls", F.lit(0.0).alias("lost")).limit(0)
+    before = F.lit(0.0) if more is None else F.col("lost")
+    lost = (before + s.trees * s.log_miss(s.first_level) + F.col("by")).alias("lost")
+    owing = owned.join(deeper.groupBy("id").agg(F.sum("by").alias("by")), "id").select("cls", lost).filter(F.col("lost") > math.log(s.miss))
+    return pairs, staged(owing, "near-owing")
 
 
 def _meeting(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
@@ -352,18 +376,35 @@ def _compared(meeting: DataFrame, owned: DataFrame, s: Settings) -> DataFrame:
     return meeting.repartition(*at).sortWithinPartitions(*at).mapInArrow(compare, "a binary, b binary")
 
 
-def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
-    """The pairs whose full sets reach the threshold.
+def _first_texts(docs: DataFrame, nodes: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """cls, text: the texts of the classes' first documents.
 
-    Texts of the classes' first documents are fetched; before they are shuffled, a
-    filter of at most `buckets` hash values leaves most others out.
+    Before texts are shuffled, a filter of at most `buckets` hash values leaves most others out.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(nodes.select("cls", "first.doc_id", "first.mark"), "cls")
-    wanted = staged(wanted, "near-wanted")
+    wanted = staged(classes.join(nodes.select("cls", "first.doc_id", "first.mark"), "cls"), "near-wanted")
     bucket = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(s.buckets)).alias("bucket")
     near = _texts(docs).withColumn("bucket", bucket).join(F.broadcast(wanted.select(bucket).distinct()), "bucket", "left_semi")
     same = near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["mark"] == wanted["mark"])
-    texts = staged(near.join(wanted, same).select("cls", "text").dropDuplicates(["cls"]), "near-texts")
+    return staged(near.join(wanted, same).select("cls", "text").dropDuplicates(["cls"]), "near-texts")
+
+
+def resigned(docs: DataFrame, nodes: DataFrame, owing: DataFrame, s: Settings, turn: int) -> DataFrame:
+    """cls, lost, path_high, path_low: tokens of further trees for the rows of `owing` (cls, lost)."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(s.words)
+        for batch in batches:
+            chosen = [signature(shingler(text), s.tokens, turn) for text in batch.column("text").to_pylist()]
+            high, low = ([part.astype(np.uint8).tobytes() for part in parts] for parts in ([c >> 8 for c in chosen], chosen))
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(high, pa.binary()), pa.array(low, pa.binary())], ["cls", "path_high", "path_low"])
+
+    texts = _first_texts(docs, nodes, owing.select("cls"), s)
+    return owing.join(texts.mapInArrow(sign, "cls binary, path_high binary, path_low binary"), "cls")
+
+
+def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+    texts = _first_texts(docs, nodes, pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), s)
     both = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,7 +441,9 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     similar; the second looks, in all trees, for links between different components,
     so that a large group of near copies never meets itself pair by pair.  Candidates
     of both are confirmed on full sets.  A pair at the threshold is missed by a tree
-    of depth d with probability 1 - 0.8^d: by all 12 trees 5e-6 at depth 2 and 2e-4 at depth 3.
+    of depth d with probability 1 - 0.8^d: by 12 trees 5e-6 at depth 2, 2e-4 at depth 3, 11% at
+    depth 8.  Rows whose trees went so deep that they miss more than `miss` go through 12
+    further trees, with new tokens, until the rate holds: at most 48 trees at depth 8.
 
     Rows that repeat a doc_id with different texts are linked each by their own text.
     A null doc_id is never the smallest unless all are null; `kept` says that doc_id
@@ -413,8 +456,15 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     nodes = staged(nodes, "near-classes")
     links = staged(confirmed(docs, nodes, staged(first_pairs(nodes, s), "near-pairs"), s), "near-links")
     labels = staged(components(links), "near-labels")
-    more = staged(confirmed(docs, nodes, path_pairs(nodes, labels, s), s), "near-links")
-    labels = staged(components(links.union(more)), "near-labels")
+    turn, further = 0, None
+    while True:
+        pairs, owing = path_pairs(nodes, labels, s, further)
+        links = links.union(staged(confirmed(docs, nodes, pairs, s), "near-links"))
+        labels = staged(components(links), "near-labels")
+        if owing.isEmpty():
+            break
+        turn += 1
+        further = staged(resigned(docs, nodes, owing, s, turn), "near-further")
     owned = nodes.select("cls", F.col("first.doc_id").alias("least")).join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = owned.groupBy("component").agg(F.min("least").alias("component_id"))
     ends = owned.join(least, "component").select("cls", "component_id")
