@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
 from tidemark.llm.exact import without_copies
-from tidemark.llm.langid import calibrate, fit, predicted
+from tidemark.llm.langid import beyond, fit, limits_of, marked, predicted
 from tidemark.llm.mix import mixture
 from tidemark.llm.near import without_near_copies
 from tidemark.llm.pack import packed
@@ -17,8 +17,8 @@ from tidemark.session import configure
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents without a letter and those far from every language that the labelled ones teach."""
-    models = fit(docs)
-    return predicted(docs, models, calibrate(docs, models)).filter("NOT rejected").select(*docs.columns)
+    said = staged(marked(predicted(docs, fit(docs))), "languages")
+    return beyond(said, limits_of(said)).filter("NOT rejected").select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -260,6 +260,24 @@ def test_language(spark):
     assert langid.fit(learn.limit(0)) == {} and langid.predicted(learn, {}).first()["lang_pred"] == "und"
 
 
+def test_rejection_limits_count_every_language_and_each_text_once(spark):
+    rows = [("xx", i % 500, "xx", 1.0 + (i % 500) / 1000) for i in range(60_000)] + [("xx", 1000, "xx", 0.1)] * 30_000
+    rows += [("yy", 2000 + i, "yy", 0.5) for i in range(2)] + [("zz", 3000, "xx", 9.0)]
+    said = spark.createDataFrame(rows, "lang string, text_mark long, lang_pred string, entropy double")
+    limits = langid.limits_of(said, quantile=0.5)
+    assert limits["xx"] == pytest.approx(1.5 * 1.249, abs=0.01) and limits["yy"] == limits["xx"]
+    few = spark.createDataFrame([(1, "yy", 0.9, False), (2, "yy", 5.0, False), (3, "und", None, True)], "doc_id long, lang_pred string, entropy double, rejected boolean")
+    assert {r["doc_id"]: r["rejected"] for r in langid.beyond(few, limits).collect()} == {1: False, 2: True, 3: True}
+
+
+def test_a_language_of_few_rows_gets_a_limit(spark):
+    rng = np.random.default_rng(5)
+    text = lambda kinds, n: " ".join("".join(rng.choice(kinds, 2)) for _ in range(n))
+    rows = [("xx", text(["blor", "nim", "tak", "oru"], 4)) for _ in range(30_000)] + [("yy", text(["ésh", "qua", "vel", "ñi"], 50)) for _ in range(1)]
+    learn = spark.createDataFrame(rows, "lang string, text string")
+    assert set(langid.calibrate(learn, langid.fit(learn))) == {"xx", "yy"}
+
+
 def test_kneser_ney_sums_to_one():
     keys, counts = np.unique(langid.grams(["abc abd aab", "cab"])[0], return_counts=True)
     model = langid.train(keys, counts)

@@ -197,14 +197,33 @@ def predicted(docs: DataFrame, models: dict[str, Model], limits: dict[str, float
     return docs.withColumn("_said", label(F.col("text").cast("string"))).select(*kept, "_said.*")
 
 
-def calibrate(docs: DataFrame, models: dict[str, Model], quantile: float = 0.999, margin: float = 1.5, sample: int = 20_000, seed: int = 11) -> dict[str, float]:
-    """Per language, the cross-entropy beyond which a text is rejected: `margin` times the `quantile` of labelled texts that get their own label.
+def limits_of(said: DataFrame, quantile: float = 0.999, margin: float = 1.5, least: int = 20) -> dict[str, float]:
+    """Per language, the cross-entropy beyond which a text is rejected: `margin` times the `quantile` over its distinct labelled texts that get their own label.
 
-    Fitted on at most about `sample` labelled rows, chosen by a seeded hash of the text.
+    `said` is labelled rows with lang, text_mark (a hash of the text), lang_pred and
+    entropy, all of which count.  A language with fewer than `least` such texts tells
+    little of its own: its limit is no lower than the highest of those with more.
     """
+    texts = said.filter("lang_pred = lang").groupBy("lang", "text_mark").agg(F.first("entropy").alias("entropy"))
+    table = texts.groupBy("lang").agg(F.percentile_approx("entropy", quantile, 10000).alias("limit"), F.count(F.lit(1)).alias("n")).collect()
+    found = {r["lang"]: float(r["limit"]) * margin for r in table}
+    known = max((found[r["lang"]] for r in table if r["n"] >= least), default=0.0)
+    return found | {r["lang"]: max(found[r["lang"]], known) for r in table if r["n"] < least}
+
+
+def calibrate(docs: DataFrame, models: dict[str, Model], quantile: float = 0.999, margin: float = 1.5) -> dict[str, float]:
+    """The limits of `limits_of` over all labelled rows of `docs` (lang, text)."""
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    total = rows.count()
-    some = rows.filter(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 20)) < F.lit(int((1 << 20) * min(1.0, sample / max(total, 1)))))
-    said = predicted(some, models).filter("lang_pred = lang")
-    table = said.groupBy("lang").agg(F.percentile_approx("entropy", quantile, 10000).alias("limit")).collect()
-    return {r["lang"]: float(r["limit"]) * margin for r in table}
+    return limits_of(marked(predicted(rows, models)), quantile, margin)
+
+
+def marked(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text_mark", F.xxhash64(F.col("text").cast("string")))
+
+
+def beyond(said: DataFrame, limits: dict[str, float]) -> DataFrame:
+    """`said`, predicted without limits, with `rejected` by `limits`."""
+    if not limits:
+        return said
+    limit = F.create_map(*(F.lit(x) for pair in limits.items() for x in pair))
+    return said.withColumn("rejected", F.col("rejected") | F.coalesce(F.col("entropy") > F.try_element_at(limit, F.col("lang_pred")), F.lit(False)))

@@ -53,13 +53,14 @@ def held_out():
 
 @query("op3_langid")
 def op3_langid(spark, sf_dir):
-    from tidemark.llm.langid import calibrate, fit, predicted
+    from tidemark.llm.common import staged
+    from tidemark.llm.langid import beyond, fit, limits_of, marked, predicted
 
     docs = table(spark, sf_dir, "documents")
-    learn = docs.filter(~held_out())
-    models = fit(learn)
-    said = predicted(docs.select("doc_id", "text"), models, calibrate(learn, models))
-    return said.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+    # Every row is scored once; the limits come from the scores of the learned ones.
+    said = marked(predicted(docs.select("doc_id", "lang", "text"), fit(docs.filter(~held_out()))))
+    said = staged(said.drop("text"), "languages")
+    return beyond(said, limits_of(said.filter(~held_out()))).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
 @query("op4_token_files")
