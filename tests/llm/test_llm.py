@@ -260,6 +260,23 @@ def test_language(spark):
     assert langid.fit(learn.limit(0)) == {} and langid.predicted(learn, {}).first()["lang_pred"] == "und"
 
 
+def test_language_models_keep_every_gram(spark):
+    rng = np.random.default_rng(8)
+    text = lambda first, n: "".join(chr(c) for c in rng.integers(first, first + 40, n))
+    rows = [(lang, text(first, 900)) for lang, first in (("xx", 0x4E00), ("yy", 0x4E10)) for _ in range(12)]
+    # Many shards, each of few grams: the model is the one of all grams in memory.
+    models = langid.fit(spark.createDataFrame(rows, "lang string, text string"), rows=1 << 12)
+    assert len(models.shards[0]) > 3
+    whole = {lang: langid.train(*np.unique(langid.grams([t for k, t in rows if k == lang])[0], return_counts=True)) for lang in ("xx", "yy")}
+    assert models == {lang: m.letters for lang, m in whole.items()}
+    asked = [text(0x4E08, 60) for _ in range(40)]
+    said = langid.predicted(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), models).collect()
+    for r in said:
+        keys = langid.grams([asked[r["doc_id"]]])[0]
+        cross = {lang: -m.logp(keys).mean() for lang, m in whole.items()}
+        assert r["entropy"] == pytest.approx(min(cross.values())) and r["lang_pred"] == min(cross, key=cross.get)
+
+
 def test_rejection_limits_count_every_language_and_each_text_once(spark):
     rows = [("xx", i % 500, "xx", 1.0 + (i % 500) / 1000) for i in range(60_000)] + [("xx", 1000, "xx", 0.1)] * 30_000
     rows += [("yy", 2000 + i, "yy", 0.5) for i in range(2)] + [("zz", 3000, "xx", 9.0)]

@@ -8,9 +8,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import staged
+
 ORDER = 4
 # A gram is its characters' code points modulo 2^16 in one 64-bit number, the first character highest.
 BITS = 16
@@ -115,10 +118,14 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: flo
     return np.where(keys[at] == wanted, values[at], default)
 
 
-def _level(keys: np.ndarray, counts: np.ndarray) -> Level:
-    """Discount by D = n1 / (n1 + 2 n2); keys are sorted, hence contexts are too."""
-    ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
-    discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+def _discount(ones: int, twos: int) -> float:
+    return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+
+def _level(keys: np.ndarray, counts: np.ndarray, discount: float | None = None) -> Level:
+    """Discount by D = n1 / (n1 + 2 n2) of all grams of the order; keys are sorted, hence contexts are too."""
+    if discount is None:
+        discount = _discount(int((counts == 1).sum()), int((counts == 2).sum()))
     contexts, begin = np.unique(keys >> np.uint64(BITS), return_index=True)
     totals = np.add.reduceat(counts, begin).astype(float)
     kinds = np.diff(np.append(begin, len(keys)))
@@ -137,29 +144,102 @@ def train(keys: np.ndarray, counts: np.ndarray) -> Model:
     return Model(levels, max(2, len(keys)) + 1)
 
 
-def fit(docs: DataFrame, most: int = 1 << 20) -> dict[str, Model]:
-    """A model per language of `docs` (lang, text).
+class Models(dict[str, int]):
+    """Per language, its distinct characters and one; `shards` has, from the highest order down, broadcasts of a dictionary from language to Level.
 
-    Counts come from all rows.  Models go to every task, so their size is bounded:
-    of a language's grams the `most` with the highest counts are stored (a million,
-    16 MB; alphabetic languages have far fewer), which is a parameter of the model,
-    not of the texts that are counted or scored.
+    A gram is in the shard of its context, `shard_of`.
     """
-    by = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    table = count_grams(docs).withColumn("_rank", F.row_number().over(by)).filter(F.col("_rank") <= most).drop("_rank").toPandas()
-    return {lang: train(part["gram"].to_numpy(np.int64).view(np.uint64), part["n"].to_numpy(np.int64)) for lang, part in table.groupby("lang")}
+
+    shards: list[list[Broadcast]] = []
+
+
+# Contexts are dealt by their remainder modulo a prime.
+_PRIME = 1_000_003
+_PIECES = 16
 
 
-def score_texts(models: dict[str, Model], texts: list[str]) -> np.ndarray:
-    """Cross-entropy of each text (rows) under each model (columns), in nats a character."""
+def shard_of(contexts: np.ndarray, shards: int) -> np.ndarray:
+    return contexts % np.uint64(_PRIME) % np.uint64(_PIECES * shards) % np.uint64(shards)
+
+
+def fit(docs: DataFrame, rows: int = 1 << 21) -> Models:
+    """A model per language of `docs` (lang, text), of all grams of all rows.
+
+    Counts, discounts and the counts of preceding characters are groupings; a piece
+    of a language's contexts is turned into arrays by one task.  The driver holds
+    one shard of about `rows` grams at a time, on its way to a broadcast, and so
+    does a task that scores, which reads all shards.
+    """
+    spark = docs.sparkSession
+    table, models, levels = staged(count_grams(docs), "grams"), Models(), []
+    for n in range(ORDER, 0, -1):
+        if n < ORDER:
+            lower = table.select("lang", F.col("gram").bitwiseAND(F.lit((1 << (BITS * n)) - 1)).alias("gram"))
+            table = staged(lower.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "grams")
+        kinds = table.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos"), F.count(F.lit(1)).alias("all")).collect()
+        discounts = {r["lang"]: _discount(r["ones"], r["twos"]) for r in kinds}
+        shards = max(1, -(-sum(r["all"] for r in kinds) // rows))
+        levels.append(_shards(spark, table, discounts, shards))
+    models.update({r["lang"]: max(2, r["all"]) + 1 for r in kinds})
+    models.shards = levels
+    return models
+
+
+def _shards(spark: SparkSession, table: DataFrame, discounts: dict[str, float], shards: int) -> list[Broadcast]:
+    def arrays(key: tuple, part: pa.Table) -> pa.Table:
+        keys, counts = (part.column(c).to_numpy() for c in ("gram", "n"))
+        order = np.argsort(keys.view(np.uint64))
+        level = _level(keys.view(np.uint64)[order], counts[order], discounts[key[1].as_py()])
+        blobs = [pa.array([a.tobytes()], pa.binary()) for a in (level.grams, level.share, level.contexts, level.left)]
+        return pa.table([pa.array([key[0].as_py() % shards], pa.int32()), pa.array([key[1].as_py()]), *blobs], ["shard", "lang", "grams", "share", "contexts", "left"])
+
+    context = F.shiftrightunsigned("gram", BITS)
+    piece = (context % _PRIME % (_PIECES * shards)).cast("int").alias("piece")
+    found = table.select(piece, "lang", "gram", "n").groupBy("piece", "lang").applyInArrow(arrays, "shard int, lang string, grams binary, share binary, contexts binary, left binary")
+    found = staged(found, "language-shards")
+    held = []
+    for i in range(shards):
+        parts: dict[str, list] = {}
+        for r in found.filter(F.col("shard") == i).collect():
+            parts.setdefault(r["lang"], []).append(r)
+        held.append(spark.sparkContext.broadcast({lang: _joined(some) for lang, some in parts.items()}))
+    return held
+
+
+def _joined(parts: list) -> Level:
+    columns = {c: np.concatenate([np.frombuffer(r[c], np.uint64 if c in ("grams", "contexts") else float) for r in parts]) for c in ("grams", "share", "contexts", "left")}
+    grams, contexts = np.argsort(columns["grams"]), np.argsort(columns["contexts"])
+    return Level(columns["grams"][grams], columns["share"][grams], columns["contexts"][contexts], columns["left"][contexts])
+
+
+def _opened(shard: Broadcast, stays: bool) -> dict[str, Level]:
+    """The shard's arrays, in a task; unless it stays, they are read anew each time."""
+    return shard.value if stays or getattr(shard, "_path", None) is None else shard.load_from_path(shard._path)
+
+
+def score_texts(names: list[str], letters: np.ndarray, shards: list[list[Broadcast]], texts: list[str]) -> np.ndarray:
+    """Cross-entropy of each text (rows) under each language's model (columns), in nats a character."""
     keys, begins = grams(texts)
     kinds, inverse = np.unique(keys, return_inverse=True)
     lengths = np.diff(np.append(begins, len(keys)))
-    columns = [np.add.reduceat(m.logp(kinds)[inverse], begins) for m in models.values()]
-    return -np.stack(columns, axis=1) / lengths[:, None]
-
-
-def predicted(docs: DataFrame, models: dict[str, Model], limits: dict[str, float] | None = None) -> DataFrame:
+    total, weight = np.zeros((len(names), len(kinds))), np.ones((len(names), len(kinds)))
+    for i, level in enumerate(shards):
+        own = kinds & np.uint64((1 << (BITS * (ORDER - i))) - 1) if i else kinds
+        contexts = own >> np.uint64(BITS)
+        at = shard_of(contexts, len(level))
+        for j, shard in enumerate(level):
+            pick = np.flatnonzero(at == j) if len(level) > 1 else slice(None)
+            known = _opened(shard, len(level) == 1)
+            for k, name in enumerate(names):
+                if name in known:
+                    part = known[name]
+                    total[k, pick] += weight[k, pick] * _find(part.grams, part.share, own[pick], 0.0)
+                    weight[k, pick] *= _find(part.contexts, part.left, contexts[pick], 1.0)
+    logp = np.log(total + weight / letters[:, None])
+    return -np.stack([np.add.reduceat(row[inverse], begins) for row in logp], axis=1) / lengths[:, None]
+
+
+def predicted(docs: DataFrame, models: Models | dict, limits: dict[str, float] | None = None) -> DataFrame:
     """All columns of `docs`, with lang_pred, score, entropy and rejected (columns of these names are replaced).
 
     The prediction is the model with the lowest cross-entropy per character, ties to
@@ -169,20 +249,18 @@ def predicted(docs: DataFrame, models: dict[str, Model], limits: dict[str, float
     cross-entropy passes the language's limit of `limits`.
     """
     names = sorted(models)
-    ordered = {k: models[k] for k in names}
+    letters_of, shards = np.array([models[k] for k in names], float), getattr(models, "shards", [])
     bound = np.array([(limits or {}).get(k, np.inf) for k in names])
     out = "lang_pred string, score double, entropy double, rejected boolean"
-    shared = docs.sparkSession.sparkContext.broadcast(ordered)
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = shared.value
         for series in batches:
             texts = series.tolist()
             lang, score, entropy, rejected = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), [True] * len(texts)
-            letters = [i for i, t in enumerate(texts) if t and known and any(map(str.isalpha, t))]
+            letters = [i for i, t in enumerate(texts) if t and names and any(map(str.isalpha, t))]
             at = 0
             for some in _slices([texts[i] for i in letters]):
-                cross = score_texts(known, some)
+                cross = score_texts(names, letters_of, shards, some)
                 best = cross.argmin(axis=1)
                 soft = np.exp(-10 * (cross - cross.min(axis=1, keepdims=True)))
                 share = soft.max(axis=1) / soft.sum(axis=1)
@@ -211,7 +289,7 @@ def limits_of(said: DataFrame, quantile: float = 0.999, margin: float = 1.5, lea
     return found | {r["lang"]: max(found[r["lang"]], known) for r in table if r["n"] < least}
 
 
-def calibrate(docs: DataFrame, models: dict[str, Model], quantile: float = 0.999, margin: float = 1.5) -> dict[str, float]:
+def calibrate(docs: DataFrame, models: Models | dict, quantile: float = 0.999, margin: float = 1.5) -> dict[str, float]:
     """The limits of `limits_of` over all labelled rows of `docs` (lang, text)."""
     rows = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     return limits_of(marked(predicted(rows, models)), quantile, margin)
