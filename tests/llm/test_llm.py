@@ -338,6 +338,18 @@ def test_disclosing_terms(spark):
     assert pii.with_spans(same.limit(0)).count() == 0
 
 
+def test_disclosing_terms_far_from_the_pattern(spark):
+    rng = np.random.default_rng(4)
+    filler = lambda: " ".join(rng.choice("alpha bravo charlie delta echo foxtrot golf hotel india juliet".split(), 60))
+    rows = [(i, f"Zorbax Li 4711 {filler()} boss@corp.example {filler()} Zorbax") for i in range(6)] + [(i, filler()) for i in range(6, 60)]
+    found = pii.with_spans(spark.createDataFrame(rows, "doc_id long, text string"), text=True).collect()
+    assert len(found) == 60 and all(not r["spans"] for r in found if r["doc_id"] >= 6)
+    for r in found:
+        if r["doc_id"] < 6:
+            assert [r["text"][s["start"] : s["end"]] for s in r["spans"]] == ["Zorbax", "Li", "4711", "boss@corp.example", "Zorbax"]
+            assert r["sanitised"].count("alpha") == r["text"].count("alpha")
+
+
 PAGE = (
     '<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/x">menu {0}</a></ul></nav><!-- <p>no</p> -->'
     '<div class="ad">buy {0}</div><article><header><h1>Head {0}</h1></header><p><b>First &amp; {0}<br>line<p>Second&nbsp;para {0}</p><p>Read more on our site</p>'

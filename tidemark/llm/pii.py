@@ -89,53 +89,79 @@ def entity(text: str, span: Span) -> str:
     return f"{span[2]}:{value.lower() if span[2] == 'email' else ''.join(DIGITS.findall(value)) if span[2] != 'ip' else value}"
 
 
-def contexts(text: str, spans: list[Span], words: int, reach: int = 256) -> list[tuple[str, str, int, int, str]]:
-    """(entity, term, start, end, context) for the terms up to `words` before and after each span.
+def words_outside(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str]]:
+    """Start, end and lower-case form of the words that touch no span; spans are in order of their starts."""
+    at, covered = 0, 0
+    for m in TERM.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            covered = max(covered, spans[at][1])
+            at += 1
+        if covered <= m.start():
+            yield m.start(), m.end(), m[0].lower()
+
+
+SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
+
+
+def _spans(rows: list[dict]) -> list[Span]:
+    return [(s["start"], s["end"], s["kind"]) for s in rows]
 
-    Terms are words of three letters or more that lie in no span; `context` is the
-    window's text.  Words are looked for within `reach` characters on each side.
-    """
-    found = []
-    for span in spans:
-        low = max(0, span[0] - reach)
-        before = list(TERM.finditer(text, low, span[0]))
-        # A word cut by the border of the reach is no word.
-        if before and before[0].start() == low > 0 and TERM.match(text, low - 1):
-            before = before[1:]
-        after = list(TERM.finditer(text, span[1], min(len(text), span[1] + reach)))
-        if after and after[-1].end() == span[1] + reach < len(text) and TERM.match(text, after[-1].end()):
-            after = after[:-1]
-        near = before[-words:] + after[:words]
-        near = [m for m in near if len(m[0]) >= 3 and m[0].isalpha() and not any(s < m.end() and m.start() < e for s, e, _ in spans)]
-        context = " ".join(m[0].lower() for m in near)
-        name = entity(text, span)
-        found += [(name, m[0].lower(), m.start(), m.end(), context) for m in near]
-    return found
-
-
-FOUND = (
-    "uid long, doc_id long, base array<struct<start:int,end:int,kind:string>>, "
-    "context array<struct<entity:string,term:string,start:int,end:int,context:string>>"
-)
-
-
-def scanned(docs: DataFrame, words: int) -> DataFrame:
-    """Pattern spans and their contexts, one row per row of `docs`, staged."""
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """uid, doc_id, base (pattern spans), entities (distinct), text (null without spans), one row per row of `docs`."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
-        near = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("context", pa.string())])
         for batch in batches:
-            base, context = [], []
+            base, entities, texts = [], [], []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text or "")
                 base.append([{"start": s, "end": e, "kind": k} for s, e, k in spans])
-                context.append([dict(zip(("entity", "term", "start", "end", "context"), c)) for c in contexts(text, spans, words)] if spans else [])
+                entities.append(sorted({entity(text, s) for s in spans}))
+                texts.append(text if spans else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), batch.column("doc_id"), pa.array(base, pa.list_(span)), pa.array(context, pa.list_(near))], ["uid", "doc_id", "base", "context"]
+                [batch.column("uid"), batch.column("doc_id"), pa.array(base, pa.list_(SPAN)), pa.array(entities, pa.list_(pa.string())), pa.array(texts, pa.string())],
+                ["uid", "doc_id", "base", "entities", "text"],
             )
 
-    return docs.select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(scan, FOUND)
+    rows = docs.select("uid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(scan, "uid long, doc_id long, base array<struct<start:int,end:int,kind:string>>, entities array<string>, text string")
+
+
+def _pairs(common: DataFrame) -> DataFrame:
+    """entity, term, mark (of the text), once per document, from rows of entities, base and text."""
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, (pa.string(), pa.string(), pa.int64()))], ["entity", "term", "mark"])
+
+        for batch in batches:
+            held: list[list] = [[], [], []]
+            for entities, base, mark, text in zip(*(batch.column(c).to_pylist() for c in ("entities", "base", "mark", "text"))):
+                terms = sorted({w for _, _, w in words_outside(text, _spans(base))})
+                for name in entities:
+                    held[0] += [name] * len(terms)
+                    held[1] += terms
+                    held[2] += [mark] * len(terms)
+                    if len(held[0]) > 1 << 16:
+                        yield flush()
+                        held = [[], [], []]
+            yield flush()
+
+    return common.select("entities", "base", F.xxhash64("text").alias("mark"), "text").mapInArrow(pair, "entity string, term string, mark long")
+
+
+def _marked(told: DataFrame) -> DataFrame:
+    """uid, added: where the terms of `revealing` (name and kind) stand in text, outside the pattern spans."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            added = []
+            for base, revealing, text in zip(*(batch.column(c).to_pylist() for c in ("base", "revealing", "text"))):
+                kinds = {r["term"]: r["kind"] for r in sorted(revealing, key=lambda r: r["kind"], reverse=True)}
+                added.append([{"start": s, "end": e, "kind": kinds[w]} for s, e, w in words_outside(text, _spans(base)) if w in kinds])
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(added, pa.list_(SPAN))], ["uid", "added"])
+
+    return told.select("uid", "base", "revealing", "text").mapInArrow(mark, "uid long, added array<struct<start:int,end:int,kind:string>>")
 
 
 def disclosing(found: DataFrame, docs: DataFrame, least_contexts: int, threshold: float, buckets: int = 1 << 16) -> DataFrame:
@@ -143,15 +169,18 @@ def disclosing(found: DataFrame, docs: DataFrame, least_contexts: int, threshold
 
     share is PMI(term; entity) / IC(entity), 1 for a term that occurs with the entity
     alone: PMI = ln(N joint / (df(term) df(entity))), IC = ln(N / df(entity)), all
-    counted over all documents; joint counts the documents with the term near the
-    entity.  Only pairs seen in `least_contexts` different contexts are estimated, so
-    that copies of one passage prove nothing.  Words of the corpus are counted if
+    counted over all documents; joint counts the documents with both, wherever they
+    stand.  Only pairs seen in `least_contexts` different texts are estimated, so
+    that copies of one text prove nothing; entities of fewer documents have no such pair.  Words of the corpus are counted if
     their hash falls in a bucket of some candidate, at most `buckets` of them.
     """
-    near = found.select("uid", F.explode("context").alias("c")).select("uid", "c.entity", "c.term", "c.context")
-    pairs = near.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("uid").alias("joint"))
+    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
+    entities = staged(entities.filter(F.col("df_entity") >= least_contexts), "pii-entities")
+    named = found.select("uid", F.explode("entities").alias("entity")).join(entities, "entity").groupBy("uid").agg(F.collect_list("entity").alias("entities"))
+    common = found.filter(F.size("entities") > 0).drop("entities").join(named, "uid")
+    by_text = _pairs(common).groupBy("entity", "term", "mark").agg(F.count(F.lit(1)).alias("n"))
+    pairs = by_text.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("joint"))
     candidates = staged(pairs.filter(F.col("contexts") >= least_contexts), "pii-pairs")
-    entities = near.select("uid", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).alias("bucket")
     wanted = F.broadcast(candidates.select(bucket("term")).distinct())
     split = F.array_distinct(F.split(F.lower(F.col("text").cast("string")), "[^\\p{L}\\p{N}]+"))
@@ -166,11 +195,11 @@ def disclosing(found: DataFrame, docs: DataFrame, least_contexts: int, threshold
     return estimated.select("entity", "term", F.when(information > 0, pmi / information).otherwise(0.0).alias("share")).filter(F.col("share") >= threshold)
 
 
-def with_spans(docs: DataFrame, words: int = 8, least_contexts: int = 3, threshold: float = 0.75, remove: float = 0.9, text: bool = False) -> DataFrame:
+def with_spans(docs: DataFrame, least_contexts: int = 3, threshold: float = 0.75, remove: float = 0.9, text: bool = False) -> DataFrame:
     """Per row: doc_id, base and spans (arrays of start, end, kind; code points, end exclusive), by start, then kind.
 
     `spans` holds the pattern spans of `base` and the terms that disclose an entity of
-    the same document from near it: kind `term`, to be generalised, or `name`, to be
+    the same document, wherever they stand in it: kind `term`, to be generalised, or `name`, to be
     removed, where the share reaches `remove`.  With `text`, also text and sanitised.
 
     A null text is empty and has no spans.  Rows that repeat a doc_id or text are
@@ -179,15 +208,17 @@ def with_spans(docs: DataFrame, words: int = 8, least_contexts: int = 3, thresho
     numbered = docs.select("doc_id", "text").withColumn("uid", F.monotonically_increasing_id())
     if text:
         numbered = staged(numbered, "pii-texts")
-    found = staged(scanned(numbered, words), "pii")
+    found = staged(scanned(numbered), "pii")
     revealing = staged(disclosing(found, docs, least_contexts, threshold), "pii-terms")
-    near = found.filter(F.size("context") > 0).select("uid", F.explode("context").alias("c")).select("uid", "c.entity", "c.term", "c.start", "c.end")
     kind = F.when(F.col("share") >= remove, "name").otherwise("term").alias("kind")
-    added = near.join(revealing, ["entity", "term"]).select("uid", F.struct("start", "end", kind).alias("s")).groupBy("uid").agg(F.collect_set("s").alias("added"))
+    # One row an entity, so that a hot one meets its documents once.
+    by_entity = revealing.groupBy("entity").agg(F.collect_list(F.struct("term", kind)).alias("revealing"))
+    told = found.select("uid", F.explode("entities").alias("entity")).join(by_entity, "entity").groupBy("uid").agg(F.array_distinct(F.flatten(F.collect_list("revealing"))).alias("revealing"))
+    added = _marked(found.join(told, "uid"))
     order = "CASE {0}.kind WHEN 'email' THEN 0 WHEN 'ip' THEN 1 WHEN 'card' THEN 2 WHEN 'phone' THEN 3 WHEN 'name' THEN 4 ELSE 5 END"
     by = f"array_sort(everything, (a, b) -> CASE WHEN a.start <> b.start THEN a.start - b.start ELSE {order.format('a')} - {order.format('b')} END)"
     everything = F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:int,end:int,kind:string>>")))
-    joined = found.drop("context").join(added, "uid", "left").withColumn("everything", everything).withColumn("spans", F.expr(by))
+    joined = found.drop("entities", "text").join(added, "uid", "left").withColumn("everything", everything).withColumn("spans", F.expr(by))
     if not text:
         return joined.select("doc_id", "base", "spans")
     hide = F.pandas_udf(_hidden, "string")
