@@ -368,6 +368,15 @@ def test_main_text(spark):
     assert wrapper.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_templates_of_all_layouts_of_a_host(spark):
+    one = "<html><body><div class='top'><p>Our site</p></div><div class='text'><p>story {0}</p></div></body></html>"
+    two = "<html><body><table><tr><td>All offers</td></tr></table><section><p>tale {0}</p></section></body></html>"
+    # The page with the smallest id is empty.
+    rows = [(0, None)] + [(i, (one if i % 2 else two).format(i)) for i in range(1, 31)]
+    found = wrapper.main_text(spark.createDataFrame([(i, f"http://l.example/{i}", h) for i, h in rows], "page_id long, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in found.collect()} == {0: "", **{i: f"{'story' if i % 2 else 'tale'} {i}" for i in range(1, 31)}}
+
+
 def test_tree_matching_skips_what_one_side_lacks():
     tree = lambda *nodes: __import__("json").dumps(nodes)
     a = tree([-1, ""], [0, "html"], [1, "div"], [1, "p"])

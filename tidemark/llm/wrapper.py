@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -172,59 +173,64 @@ def align(page: str, template: str) -> list[int]:
     return found
 
 
+def slots(tree: str) -> list[int]:
+    """For each node its slot in the union of a host's trees, by its path of labels.
+
+    Siblings of one label are one node, so a path names one node of a tree, and what
+    top-down matching pairs, here and in `align`, has equal paths.  A union grown from
+    all trees, each page's unmatched nodes added to it, is the set of their paths; a node
+    that changed places with a sibling keeps its slot.
+    """
+    found: list[bytes] = []
+    for parent, label in json.loads(tree):
+        above = found[parent] if parent >= 0 else b""
+        found.append(hashlib.blake2b(above + label.encode("utf-8", "surrogatepass"), digest_size=8).digest())
+    return [int.from_bytes(f, "little", signed=True) for f in found]
+
+
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, tree, blocks of every row."""
-    block = pa.struct([("node", pa.int32()), ("text", pa.string())])
+    """page_id, url, host, blocks (slot, text) of every row."""
+    block = pa.struct([("slot", pa.int64()), ("text", pa.string())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trees, blocks = [], []
+            blocks, known = [], {}
             for page in batch.column("html").to_pylist():
                 tree, found = parse(page or "")
-                trees.append(tree)
-                blocks.append([{"node": n, "text": t} for n, t, _ in found])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(trees), pa.array(blocks, pa.list_(block))], ["page_id", "url", "host", "tree", "blocks"]
-            )
+                if tree not in known:
+                    known[tree] = slots(tree)
+                blocks.append([{"slot": known[tree][n], "text": t} for n, t, _ in found])
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(blocks, pa.list_(block))], ["page_id", "url", "host", "blocks"])
 
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), "^[^:/?#]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), F.col("html").cast("string").alias("html"))
-    return rows.mapInArrow(read, "page_id long, url string, host string, tree string, blocks array<struct<node:int,text:string>>")
+    return rows.mapInArrow(read, "page_id long, url string, host string, blocks array<struct<slot:bigint,text:string>>")
 
 
 def main_text(pages: DataFrame, least_pages: int = 8, share: float = 0.6) -> DataFrame:
     """Per row of `pages` (page_id, url, html): page_id, url, text, n_chars.
 
-    A host's page with the smallest page_id gives its template; every distinct tree
-    is aligned with its host's.  A block whose text stands at the same template node
-    on at least `share` of the host's pages, and on `least_pages`, is constant, hence
-    template; what varies is content.  A page that would lose everything that way
-    keeps it.  Counting is over all pages, combined before any shuffle, so a host may
-    hold any share of them; the pages' texts are never shuffled while templates and
-    constants are small enough for Catalyst to broadcast.
+    A host's template is the union of the trees of all its pages.  A block whose text
+    stands at the same template node on at least `share` of the host's pages that
+    have a block there, and on `least_pages`, is constant, hence template, whatever
+    other layouts the host has; what varies is content.  A page that would lose
+    everything that way keeps it.  Counting is over all pages, combined before any
+    shuffle, so a host may hold any share of them; the pages' texts are never shuffled
+    while constants are small enough for Catalyst to broadcast.
 
     A null html is empty and gives an empty text; pages without a host form one group;
     rows that repeat a page_id are read each; other columns are ignored.
     """
     rows = staged(parsed(pages), "pages")
-    templates = rows.groupBy("host").agg(F.min_by("tree", F.struct("page_id", "tree")).alias("template"), F.count(F.lit(1)).alias("pages"))
-    kinds = rows.select("host", "tree").distinct().join(templates, "host")
-
-    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [align(a, b) for a, b in zip(batch.column("tree").to_pylist(), batch.column("template").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("tree"), batch.column("pages"), pa.array(found, pa.list_(pa.int32()))], ["host", "tree", "pages", "slots"])
-
-    slots = staged(kinds.select("host", "tree", "template", "pages").mapInArrow(aligned, "host string, tree string, pages long, slots array<int>"), "templates")
-    placed = rows.join(slots, ["host", "tree"])
-    keyed = lambda blocks: F.transform(blocks, lambda b: F.struct(F.get("slots", b["node"]).alias("slot"), F.xxhash64(b["text"]).alias("hash")))
-    seen = placed.select("host", "pages", F.explode(F.array_distinct(keyed(F.col("blocks")))).alias("k"))
-    counts = seen.groupBy("host", "k").agg(F.count(F.lit(1)).alias("n"), F.max("pages").alias("pages"))
-    # At most 1 / share times a page's blocks are constant in a host.
-    constant = counts.filter((F.col("k.slot") >= 0) & (F.col("n") >= least_pages) & (F.col("n") >= F.col("pages") * share))
+    key = lambda b: F.struct(b["slot"].alias("slot"), F.xxhash64(b["text"]).alias("hash"))
+    seen = rows.select("host", F.explode(F.array_distinct(F.transform("blocks", key))).alias("k"))
+    counts = seen.groupBy("host", "k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages).withColumn("slot", F.col("k.slot"))
+    filled = rows.select("host", F.explode(F.array_distinct(F.transform("blocks", lambda b: b["slot"]))).alias("slot")).groupBy("host", "slot").agg(F.count(F.lit(1)).alias("pages"))
+    # At most 1 / share times a page's blocks are constant in a layout.
+    constant = counts.join(filled, ["host", "slot"]).filter(F.col("n") >= F.col("pages") * share)
     constants = staged(constant.groupBy("host").agg(F.collect_list("k").alias("constants")), "constants")
-    told = placed.join(constants, "host", "left")
-    varies = F.filter("blocks", lambda b: ~F.array_contains("constants", F.struct(F.get("slots", b["node"]).alias("slot"), F.xxhash64(b["text"]).alias("hash"))))
+    told = rows.join(constants, "host", "left")
+    varies = F.filter("blocks", lambda b: ~F.array_contains("constants", key(b)))
     kept = F.when(F.col("constants").isNull(), F.col("blocks")).otherwise(varies)
     kept = F.when(F.size(kept) == 0, F.col("blocks")).otherwise(kept)
     text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
