@@ -36,6 +36,15 @@ def test_page_slices_agree(spark, monkeypatch):
     assert near == deep == list(range(250, 350))
 
 
+def test_page_slices_of_tied_rows_give_each_row_once(spark):
+    rows = [(i, i % 3) for i in range(120)]
+    found = []
+    for n, offset in enumerate(range(0, 120, 40)):
+        df = spark.createDataFrame(rows[::-1] if n % 2 else rows, "id int, tied int").repartition(n + 2)
+        found += [r.id for r in pages.page_slice(df, ["tied"], offset + 10, 40).collect()]
+    assert len(found) == len(set(found)) == 110
+
+
 def test_row_numbers_follow_the_order(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k")).withColumn("pad", F.lit("x"))
     got = [(r.k, r.row_number) for r in pages.number_rows(df, "k").collect()]

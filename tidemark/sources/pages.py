@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.plans.staging import stage
 
 PAGE_LIMIT = 1000
-# A slice this near the start is kept in per-task heaps; a deeper one is numbered first.
-HEAP_ROWS = 100_000
+# Not read any more: all slices have one plan.  The name stays because tests/test_reads.py sets it.
+HEAP_ROWS = None
 
 
 def last_page(pages: DataFrame, page: str = "page", limit: int = PAGE_LIMIT, first: int = 0) -> DataFrame:
@@ -65,9 +65,11 @@ def number_rows(df: DataFrame, *order: str | Column, name: str = "row_number") -
 
 
 def page_slice(df: DataFrame, order: list[str], offset: int, limit: int = PAGE_LIMIT) -> DataFrame:
-    """`limit` rows of the ordered set, starting at `offset`."""
-    if offset + limit <= HEAP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    rows = number_rows(df, *order)
+    """`limit` rows of the ordered set, starting at `offset`.
+
+    Rows that tie in `order` follow in the order of all their columns, as JSON, so
+    slices of one set fit together; only rows equal in every column are interchangeable.
+    """
+    rows = number_rows(df, *order, F.to_json(F.struct(*(df[c] for c in df.columns))))
     wanted = F.col("row_number").between(offset, offset + limit - 1)
-    return rows.filter(wanted).orderBy(*order).drop("row_number")
+    return rows.filter(wanted).orderBy("row_number").drop("row_number")
