@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,46 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keeping_columns(*core: str) -> Callable:
+    """Decorates an operator from rows to rows: it sees the columns of `core` and one more that holds all others.
+
+    Columns of any other name thus reach its result untouched, whatever it calls its own.
+    """
+
+    def decorate(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(operator)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            seen = [c for c in docs.columns if c in core]
+            others = [c for c in docs.columns if c not in core]
+            quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns}
+            held = docs.select(*seen, F.struct(*(quoted[c].alias(str(i)) for i, c in enumerate(others))).alias("_others")) if others else docs
+            back = {c: F.col("_others")[str(i)].alias(c) for i, c in enumerate(others)}
+            return operator(held, *args, **options).select(*(back.get(c, F.col(c)) for c in docs.columns))
+
+        return run
+
+    return decorate
+
+
+def staying(rows: DataFrame, told: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key that `told` (keys, kept) keeps.
+
+    Only what goes is looked up: wide rows are read past the keys that are dropped, which
+    Catalyst broadcasts where they are few, and only keys that several kept rows have are
+    brought together.  Null keys are keys like others.
+    """
+    told = staged(told.select(*keys, "kept"), "told")
+    names = [f"_key_{i}" for i in range(len(keys))]
+    again = told.filter("kept").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys).toDF(*names)
+    again = staged(again, "repeated")
+    gone = staged(told.filter("NOT kept").select(*keys).distinct().toDF(*names).unionByName(again), "dropped")
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    rest = rows.join(gone, same, "left_anti")
+    if again.isEmpty():
+        return rest
+    return rest.unionByName(rows.join(again, same, "left_semi").dropDuplicates(keys))
+
+
 def own_key(column: str) -> Column:
     """A never-null key for a nullable text column: null and every text differ."""
     return F.coalesce(F.concat(F.lit("v"), F.col(column)), F.lit("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE
+from tidemark.llm.common import WHITE, keeping_columns, staying
 
 
 def normalised(docs: DataFrame) -> DataFrame:
@@ -44,9 +44,13 @@ def exact_groups(docs: DataFrame, salts: int = 16) -> DataFrame:
     )
 
 
+@keeping_columns("doc_id", "text")
 def without_copies(docs: DataFrame, salts: int = 16) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; of rows that repeat a doc_id and text, one stays."""
-    kept = exact_groups(docs, salts).filter("kept").select(F.col("keep_id").alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
+    """The rows of `docs` that stay, with all their columns; of rows that repeat a doc_id and text, one stays.
+
+    Null and empty texts are equal; a null doc_id stays only where all of its group are
+    null; an empty table stays empty.
+    """
+    told = exact_groups(docs, salts).select("doc_id", F.col("text_sha256").alias("_digest"), "kept")
     rows = normalised(docs).withColumn("_digest", F.sha2(F.encode("_norm", "UTF-8"), 256)).drop("_norm")
-    stay = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_keep"]) & (rows["_digest"] == kept["_sha"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    return staying(rows.withColumn("doc_id", F.col("doc_id").cast("long")), told, ["doc_id", "_digest"]).drop("_digest")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import keeping_columns, staged, staying
 from tidemark.llm.components import components
 
 _RANDOM = np.random.default_rng(20240101)
@@ -473,9 +473,13 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "mark")
 
 
+@keeping_columns("doc_id", "text")
 def without_near_copies(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """The rows of `docs` that stay, one of each component, with all their columns; of rows that repeat a doc_id and text, one stays."""
-    kept = near_components(docs, settings).filter("kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    """The rows of `docs` that stay, one of each component, with all their columns; of rows that repeat a doc_id and text, one stays.
+
+    Rows without words have no copies and stay; a null doc_id stays only where all of its
+    component are null; an empty table stays empty.
+    """
+    told = near_components(docs, settings).select("doc_id", F.col("mark").alias("_text_mark"), "kept")
     rows = docs.withColumn("_text_mark", F.xxhash64(F.col("text").cast("string")))
-    stay = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_text_mark"] == kept["_mark"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "_text_mark"]).drop("_text_mark")
+    return staying(rows, told, ["doc_id", "_text_mark"]).drop("_text_mark")

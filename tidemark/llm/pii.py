@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged
 
 KINDS = ("email", "ip", "card", "phone")
+BUCKETS = 1 << 16
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DIGITS = re.compile(r"[0-9]+")
@@ -127,27 +131,68 @@ def scanned(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(scan, "uid long, doc_id long, base array<struct<start:int,end:int,kind:string>>, entities array<string>, text string")
 
 
-def _pairs(common: DataFrame) -> DataFrame:
-    """entity, term, mark (of the text), once per document, from rows of entities, base and text."""
+def terms_of(text: str) -> set[str]:
+    """The distinct terms of a text: what is counted for the corpus, for an entity, and marked, is cut alike."""
+    return set(map(str.lower, TERM.findall(text)))
+
+
+def bucket_of(term: str) -> int:
+    return zlib.crc32(term.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
+
+
+def wanted_buckets(terms: DataFrame) -> bytes:
+    """Which of the 65,536 buckets hold a term of `terms`: one byte each, whatever the number of terms."""
+    bucket = F.crc32(F.encode("term", "UTF-8")).bitwiseAND(BUCKETS - 1)
+    table = bytearray(BUCKETS)
+    for r in terms.select(bucket.alias("bucket")).distinct().collect():
+        table[r["bucket"]] = 1
+    return bytes(table)
+
+
+PAIRS = "uid long, entity string, term string, mark long"
+
+
+def _pairs(common: DataFrame, wanted: bytes | None = None) -> DataFrame:
+    """uid, entity, term, mark (of the text), once per document, from rows of uid, entities, base and text; of terms in `wanted` buckets only."""
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64())
+
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, (pa.string(), pa.string(), pa.int64()))], ["entity", "term", "mark"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds)], ["uid", "entity", "term", "mark"])
 
+        held: list[list] = [[], [], [], []]
         for batch in batches:
-            held: list[list] = [[], [], []]
-            for entities, base, mark, text in zip(*(batch.column(c).to_pylist() for c in ("entities", "base", "mark", "text"))):
+            for uid, entities, base, mark, text in zip(*(batch.column(c).to_pylist() for c in ("uid", "entities", "base", "mark", "text"))):
                 terms = sorted({w for _, _, w in words_outside(text, _spans(base))})
+                if wanted is not None:
+                    terms = [w for w in terms if wanted[bucket_of(w)]]
                 for name in entities:
-                    held[0] += [name] * len(terms)
-                    held[1] += terms
-                    held[2] += [mark] * len(terms)
+                    held[0] += [uid] * len(terms)
+                    held[1] += [name] * len(terms)
+                    held[2] += terms
+                    held[3] += [mark] * len(terms)
                     if len(held[0]) > 1 << 16:
                         yield flush()
-                        held = [[], [], []]
-            yield flush()
+                        held = [[], [], [], []]
+        yield flush()
+
+    return common.select("uid", "entities", "base", F.xxhash64("text").alias("mark"), "text").mapInArrow(pair, PAIRS)
+
+
+def _document_frequencies(docs: DataFrame, wanted: bytes) -> DataFrame:
+    """term, df_term over all documents, of terms in `wanted` buckets; combined per batch before the shuffle."""
 
-    return common.select("entities", "base", F.xxhash64("text").alias("mark"), "text").mapInArrow(pair, "entity string, term string, mark long")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter[str] = Counter()
+            for text in batch.column("text").to_pylist():
+                if text:
+                    seen.update(w for w in terms_of(text) if wanted[bucket_of(w)])
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+
+    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "term string, n long")
+    return counted.groupBy("term").agg(F.sum("n").alias("df_term"))
 
 
 def _marked(told: DataFrame) -> DataFrame:
@@ -164,35 +209,43 @@ def _marked(told: DataFrame) -> DataFrame:
     return told.select("uid", "base", "revealing", "text").mapInArrow(mark, "uid long, added array<struct<start:int,end:int,kind:string>>")
 
 
-def disclosing(found: DataFrame, docs: DataFrame, least_contexts: int, threshold: float, buckets: int = 1 << 16) -> DataFrame:
+def with_entities(found: DataFrame, least_contexts: int) -> tuple[DataFrame, DataFrame]:
+    """(rows with the entities that stand in so many documents; these entities with df_entity)."""
+    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
+    entities = staged(entities.filter(F.col("df_entity") >= least_contexts), "pii-entities")
+    named = found.select("uid", F.explode("entities").alias("entity")).join(entities, "entity").groupBy("uid").agg(F.collect_list("entity").alias("entities"))
+    return staged(found.filter(F.size("entities") > 0).drop("entities").join(named, "uid"), "pii-common"), entities
+
+
+def disclosing(common: DataFrame, entities: DataFrame, docs: DataFrame, least_contexts: int, threshold: float, doubt: float = 0.01) -> DataFrame:
     """entity, term, share: the terms that reveal an entity.
 
     share is PMI(term; entity) / IC(entity), 1 for a term that occurs with the entity
     alone: PMI = ln(N joint / (df(term) df(entity))), IC = ln(N / df(entity)), all
     counted over all documents; joint counts the documents with both, wherever they
     stand.  Only pairs seen in `least_contexts` different texts are estimated, so
-    that copies of one text prove nothing; entities of fewer documents have no such pair.  Words of the corpus are counted if
-    their hash falls in a bucket of some candidate, at most `buckets` of them.
+    that copies of one text prove nothing; entities of fewer documents have no such pair.
+
+    A rare term stands with a frequent entity by chance.  By Chernoff's bound, a term
+    of df documents has a share p of them with an entity of the corpus's share q with a chance of at most
+    exp(-df KL(p, q)); that bound, times the number of pairs looked at, must be at most `doubt`:
+    then fewer than that many terms are expected to be marked by chance in the whole corpus.
     """
-    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
-    entities = staged(entities.filter(F.col("df_entity") >= least_contexts), "pii-entities")
-    named = found.select("uid", F.explode("entities").alias("entity")).join(entities, "entity").groupBy("uid").agg(F.collect_list("entity").alias("entities"))
-    common = found.filter(F.size("entities") > 0).drop("entities").join(named, "uid")
     by_text = _pairs(common).groupBy("entity", "term", "mark").agg(F.count(F.lit(1)).alias("n"))
     pairs = by_text.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("joint"))
     candidates = staged(pairs.filter(F.col("contexts") >= least_contexts), "pii-pairs")
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).alias("bucket")
-    wanted = F.broadcast(candidates.select(bucket("term")).distinct())
-    split = F.array_distinct(F.split(F.lower(F.col("text").cast("string")), "[^\\p{L}\\p{N}]+"))
-    seen = docs.select(F.explode(split).alias("term")).withColumn("bucket", bucket("term")).join(wanted, "bucket", "left_semi")
-    terms = seen.groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))
-    joint = F.col("joint").cast("double")
-    df_term = F.greatest(F.coalesce("df_term", "joint"), "joint")
-    information = F.log(F.col("total") / F.col("df_entity"))
-    pmi = F.log(F.col("total") * joint / (df_term * F.col("df_entity")))
-    estimated = candidates.join(entities, "entity").join(terms, "term", "left").join(F.broadcast(total))
-    return estimated.select("entity", "term", F.when(information > 0, pmi / information).otherwise(0.0).alias("share")).filter(F.col("share") >= threshold)
+    terms = _document_frequencies(docs, wanted_buckets(candidates))
+    total = docs.agg(F.count(F.lit(1)).alias("total")).first()["total"]
+    looked = max(candidates.count(), 1)
+    joint, df_term, n = F.col("joint").cast("double"), F.col("df_term").cast("double"), float(max(total, 1))
+    p, q = joint / df_term, F.col("df_entity") / F.lit(n)
+    information = -F.log(q)
+    pmi = F.log(p / q)
+    others = F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - q))).otherwise(0.0)
+    proof = df_term * (p * pmi + others)
+    estimated = candidates.join(entities, "entity").join(terms, "term")
+    share = F.when((information > 0) & (pmi > 0) & (proof >= F.lit(math.log(looked / doubt))), pmi / information).otherwise(0.0)
+    return estimated.select("entity", "term", share.alias("share")).filter(F.col("share") >= threshold)
 
 
 def with_spans(docs: DataFrame, least_contexts: int = 3, threshold: float = 0.75, remove: float = 0.9, text: bool = False) -> DataFrame:
@@ -209,12 +262,14 @@ def with_spans(docs: DataFrame, least_contexts: int = 3, threshold: float = 0.75
     if text:
         numbered = staged(numbered, "pii-texts")
     found = staged(scanned(numbered), "pii")
-    revealing = staged(disclosing(found, docs, least_contexts, threshold), "pii-terms")
+    common, entities = with_entities(found, least_contexts)
+    revealing = staged(disclosing(common, entities, docs, least_contexts, threshold), "pii-terms")
+    # Each document brings its own terms, so what is joined grows with the text, however hot an entity.
+    own = _pairs(common, wanted_buckets(revealing)).join(revealing, ["entity", "term"])
+    worst = own.groupBy("uid", "term").agg(F.max("share").alias("share"))
     kind = F.when(F.col("share") >= remove, "name").otherwise("term").alias("kind")
-    # One row an entity, so that a hot one meets its documents once.
-    by_entity = revealing.groupBy("entity").agg(F.collect_list(F.struct("term", kind)).alias("revealing"))
-    told = found.select("uid", F.explode("entities").alias("entity")).join(by_entity, "entity").groupBy("uid").agg(F.array_distinct(F.flatten(F.collect_list("revealing"))).alias("revealing"))
-    added = _marked(found.join(told, "uid"))
+    told = worst.groupBy("uid").agg(F.collect_list(F.struct("term", kind)).alias("revealing"))
+    added = _marked(common.join(told, "uid"))
     order = "CASE {0}.kind WHEN 'email' THEN 0 WHEN 'ip' THEN 1 WHEN 'card' THEN 2 WHEN 'phone' THEN 3 WHEN 'name' THEN 4 ELSE 5 END"
     by = f"array_sort(everything, (a, b) -> CASE WHEN a.start <> b.start THEN a.start - b.start ELSE {order.format('a')} - {order.format('b')} END)"
     everything = F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:int,end:int,kind:string>>")))
