@@ -28,11 +28,10 @@ def test_a_page_set_ends_with_the_first_short_or_missing_page(spark, sizes, last
     assert pages.complete_pages(df, limit=3).count() == kept
 
 
-def test_page_slices_agree(spark, monkeypatch):
+def test_page_slices_agree(spark):
     df = spark.range(1000).select((F.lit(999) - F.col("id")).alias("id"))
     near = [r.id for r in pages.page_slice(df, ["id"], 250, 100).collect()]
-    monkeypatch.setattr(pages, "HEAP_ROWS", 10)
-    deep = [r.id for r in pages.page_slice(df, ["id"], 250, 100).collect()]
+    deep = [r.id for r in pages.page_slice(df, ["id"], 250, 100, near=10).collect()]
     assert near == deep == list(range(250, 350))
 
 

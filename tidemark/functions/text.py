@@ -16,13 +16,29 @@ def clean_text(column: Column | str) -> Column:
     return F.replace(F.translate(column, "\n\r\t", "   "), F.lit("  "), F.lit(" "))
 
 
-# Fixed value: a line break or tab as JSON text writes it, after any number of escaped backslashes.
-ESCAPED_BREAK = r"(?<!\\)((?:\\\\)*+)\\[nrt]"
+# Stand-ins for an escaped backslash and an escaped quote; JSON text holds no such characters itself.
+BACKSLASH, QUOTE = "\x01", "\x02"
 
 
 def clean_json(text: Column) -> Column:
-    """`clean_text` over all strings of compact JSON text (its keys included)."""
-    return F.replace(F.regexp_replace(text, ESCAPED_BREAK, "$1 "), F.lit("  "), F.lit(" "))
+    """`clean_text` over all string values of compact JSON text; keys stay as they are.
+
+    With escapes out of the way, what stands between quotes alternates between
+    structure and strings, and a string that a colon follows is a key.
+    """
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit(BACKSLASH)), F.lit('\\"'), F.lit(QUOTE))
+    parts = F.split(plain, '"', -1)
+
+    def cleaned(part: Column, at: Column) -> Column:
+        value = part
+        for escape in ("\\n", "\\r", "\\t"):
+            value = F.replace(value, F.lit(escape), F.lit(" "))
+        is_value = (at % 2 == 1) & ~F.startswith(F.coalesce(F.get(parts, at + 1), F.lit("")), F.lit(":"))
+        # Text without quotes may be what stood between them.
+        return F.when(is_value | (F.size(parts) == 1), F.replace(value, F.lit("  "), F.lit(" "))).otherwise(part)
+
+    whole = F.array_join(F.transform(parts, cleaned), '"')
+    return F.replace(F.replace(whole, F.lit(QUOTE), F.lit('\\"')), F.lit(BACKSLASH), F.lit("\\\\"))
 
 
 def clean_columns(df: DataFrame, *columns: str) -> DataFrame:

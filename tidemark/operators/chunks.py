@@ -60,6 +60,20 @@ def chunk_counts(
     return df.select(F.explode(numbers).alias("chunk_num")).groupBy("chunk_num").agg(F.count("*").alias("records_count"))
 
 
+def landed_by_chunk(rows: DataFrame, column: str, start: datetime, end: datetime, hours: int, path: str) -> Callable[[int], DataFrame]:
+    """Write the rows of all chunks once, a folder per chunk; the result reads the rows of one.
+
+    Rows are labelled by arithmetic, so a plan of any number of chunks is one scan, and a
+    chunk reads its own folder only.  A row on a boundary goes to both its chunks; rows
+    outside the range go to none.  REBALANCE splits a chunk that holds much of the rows.
+    """
+    first, last = (F.lit(str(t)).cast("timestamp") for t in (start, end))
+    labelled = rows.withColumn("__chunk", F.explode(chunk_numbers(F.col(column).cast("timestamp"), first, last, hours)))
+    labelled.hint("rebalance", "__chunk").write.partitionBy("__chunk").parquet(path)
+    stored = rows.sparkSession.read.schema(labelled.schema).parquet(path)
+    return lambda number: stored.filter(F.col("__chunk") == number).drop("__chunk")
+
+
 def run_chunks(plan: DataFrame, job: Callable[[datetime, datetime], int]) -> DataFrame:
     """Run `job(start, end)` for each chunk in order; a failing chunk does not stop the rest.
 
@@ -67,7 +81,7 @@ def run_chunks(plan: DataFrame, job: Callable[[datetime, datetime], int]) -> Dat
     """
     spark, results = plan.sparkSession, []
     for chunk in plan.orderBy("chunk_num").toLocalIterator():
-        row = [chunk.chunk_num, chunk.start_date.strftime(LAYOUT), chunk.end_date.strftime(LAYOUT)]
+        row = [chunk.chunk_num, str(chunk.start_date), str(chunk.end_date)]
         try:
             results.append((*row, SUCCESS, int(job(chunk.start_date, chunk.end_date)), None))
         except Exception as failure:  # any failure is that chunk's result
@@ -98,10 +112,15 @@ def backfill(
         return FATAL, None
 
 
+def read_time(text: str) -> datetime:
+    """`LAYOUT`, with or without a fraction of a second."""
+    return datetime.strptime(text, f"{LAYOUT}.%f" if "." in text else LAYOUT)
+
+
 def parse_range(start: str, end: str | None, now: datetime) -> tuple[datetime, datetime]:
     """The range of a backfill event; it ends now unless it says otherwise."""
-    first = datetime.strptime(start, LAYOUT)
-    last = datetime.strptime(end, LAYOUT) if end else now.replace(microsecond=0)
+    first = read_time(start)
+    last = read_time(end) if end else now.replace(microsecond=0)
     if first > last:
         raise ValueError("start is after end")
     return first, last

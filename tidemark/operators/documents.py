@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.functions.naming import snake_case, snake_letters
 from tidemark.functions.timestamps import parse_catalogued
 from tidemark.operators.flatten import Leaf, flatten
+from tidemark.operators.leaves import flatten_known
 from tidemark.operators.shape import run_time
 from tidemark.plans.catalog import TableCatalog, installments
 from tidemark.plans.staging import restrict_to_keys
@@ -72,6 +73,43 @@ def records_of(
     return flat.withColumn("timestamp_extracted", run_time(run_ts)) if run_ts else flat
 
 
+def installments_known(
+    documents: DataFrame,
+    accounts: DataFrame,
+    registry: str,
+    *,
+    account_id: str = "loan_account_id",
+    document: str = "document",
+    run_ts: datetime | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """`installments_for` with the leaf paths of earlier runs, kept in `registry`.
+
+    Once the paths are known each document is read and parsed once: records and the
+    errors of documents without any come out of one staged pass.
+    """
+    ids = accounts.select(F.col("id").alias(account_id))
+    wanted = as_documents(restrict_to_keys(documents, ids, [account_id]), document)
+    keep = [c for c in wanted.columns if c != document]
+    parts = wanted.select(
+        *keep,
+        F.try_variant_get(document, "$.installments", "variant").alias("__records"),
+        F.transform(F.try_variant_get(document, "$.errors", "array<variant>"), lambda e: F.try_variant_get(e, "$.errorReason", "string")).alias("__reasons"),
+    )
+    missing = F.col("__records").isNull() | F.is_variant_null("__records")
+    reasons = F.when(missing, F.coalesce("__reasons", F.array(F.lit(None).cast("string"))))
+    parts = parts.withColumn("__reasons", reasons)
+    elements = wanted.sparkSession.tvf.variant_explode_outer(F.col("__records").outer()).toDF("__pos", "__key", "record")
+    rows = parts.lateralJoin(elements)
+    # A row for each element of a list, and one for each document without records.
+    rows = rows.withColumn("__element", F.col("__pos").isNotNull() & F.col("__key").isNull())
+    rows = rows.select(*keep, "__reasons", "__element", F.when(F.col("__element"), F.col("record")).alias("record"))
+    told = flatten_known(rows, "record", registry, empty_as="", only="__element")
+    flat = told.filter("__element").drop("__reasons", "__element")
+    severity = F.when(F.col("reason").isin(*WARNING_REASONS), "warning").otherwise("error")
+    rejects = told.filter("NOT __element").select(*keep, F.explode("__reasons").alias("reason")).withColumn("severity", severity)
+    return (flat.withColumn("timestamp_extracted", run_time(run_ts)) if run_ts else flat), rejects
+
+
 def installments_for(
     documents: DataFrame,
     accounts: DataFrame,

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import clean_text
+from tidemark.sources.landed import step, value_at
 
 EMPTY_OBJECT, EMPTY_ARRAY = "{}", "[]"
 
@@ -50,15 +51,14 @@ def as_variant(column: Column, strict: bool = True) -> Column:
     return F.parse_json(column) if strict else F.try_parse_json(column)
 
 
-def _step(segment: str | int) -> str:
-    if isinstance(segment, int):
-        return f"[{segment}]"
-    quote = '"' if "'" in segment else "'"
-    return f"[{quote}{segment}{quote}]"
+def _path(segments: Iterable[str | int]) -> str:
+    """A path as text; keys that no path can spell are written as they are, to tell places apart."""
+    return "$" + "".join(step(segment) or f"[{segment}]" for segment in segments)
 
 
-def _path(segments: Iterable[str | int]) -> str:
-    return "$" + "".join(_step(segment) for segment in segments)
+def _get(document: Column, leaf: Leaf, kind: str) -> Column:
+    """The leaf inside its document, which is the embedded one where there is one."""
+    return value_at(document, leaf.segments[1:] if leaf.embedded else leaf.segments, kind)
 
 
 def _is_text(value: Column) -> Column:
@@ -141,6 +141,12 @@ def find_leaves(
     if max_columns is not None and len(kinds) > max_columns:
         raise ValueError(f"more than {max_columns} distinct paths in {column}; raise max_columns")
 
+    return as_leaves(kinds, separator, replace_separators)
+
+
+def as_leaves(kinds: dict[tuple, set[str]], separator: str = "_", replace_separators: str | None = None) -> list[Leaf]:
+    """The leaves of places, (embedded, segments), and the kinds of value seen there; sorted by name."""
+
     def name(segments: tuple) -> str:
         parts = [str(s) for s in segments]
         if replace_separators is not None:
@@ -164,12 +170,12 @@ def find_leaves(
 
 
 def _leaf_value(document: Column, leaf: Leaf, clean: bool, empty_as: str | None) -> Column:
-    value = F.try_variant_get(document, leaf.path, "string")
+    value = _get(document, leaf, "string")
     if not (leaf.empty or leaf.nested):
         return clean_text(value) if clean else value
     # Only text that looks like a container needs to be told from one.
     blank = value if empty_as is None else F.lit(empty_as)
-    shape = F.schema_of_variant(F.try_variant_get(document, leaf.path, "variant"))
+    shape = F.schema_of_variant(_get(document, leaf, "variant"))
     text = clean_text(value) if clean else value
     return (
         F.when(~value.rlike(r"^[\[{]"), text)
@@ -222,10 +228,10 @@ def flatten(
     source_text = F.to_json(F.col(column)) if is_variant else F.col(column)
     parsed = df.withColumn("__doc", F.col(column) if is_variant else as_variant(F.col(column), strict))
     # Embedded documents are parsed once each, not once per leaf.
-    roots = sorted({leaf.embedded for leaf in leaves if leaf.embedded})
-    inner = {root: f"__doc_{i}" for i, root in enumerate(roots)}
+    roots = {leaf.embedded: leaf.segments[:1] for leaf in leaves if leaf.embedded}
+    inner = {root: f"__doc_{i}" for i, root in enumerate(sorted(roots))}
     parsed = parsed.withColumns(
-        {alias: _embedded_object(F.try_variant_get(document, root, "variant"), clean) for root, alias in inner.items()}
+        {alias: _embedded_object(value_at(document, roots[root], "variant"), clean) for root, alias in inner.items()}
     ) if inner else parsed
 
     by_name: dict[str, list[Leaf]] = defaultdict(list)
@@ -247,10 +253,10 @@ def flatten(
         # Two paths spell one name: the later one in the record wins.
         root = places[0].embedded
         host = F.col(inner[root]) if root else document
-        text = F.try_variant_get(document, root, "string") if root else source_text
+        text = value_at(document, roots[root], "string") if root else source_text
         ranked = [
             F.when(
-                F.try_variant_get(host, leaf.path, "variant").isNotNull(),
+                _get(host, leaf, "variant").isNotNull(),
                 F.struct(_position(text, leaf).alias("at"), one(leaf).alias("value")),
             )
             for leaf in places

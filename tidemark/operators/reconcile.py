@@ -101,29 +101,34 @@ def _days(df: DataFrame, column: str | None, day: date | None, fixed: date | Non
     return rows, calendar_day(df, column)
 
 
+def _key_counts(df: DataFrame, day: Column, key: str) -> DataFrame:
+    return df.groupBy(day.alias("day"), F.col(key).alias("key")).agg(F.count("*").alias("n"))
+
+
+def _day_counts(per_key: DataFrame) -> DataFrame:
+    return per_key.groupBy("day").agg(F.sum("n").alias("rows"), F.count("key").alias("keys"))
+
+
 def daily_counts(df: DataFrame, day: Column, key: str) -> DataFrame:
     """Rows and exact distinct keys per day.
 
     Grouping by (day, key) first spreads a day that holds much of the data over all
     tasks; repeated keys collapse before the shuffle.
     """
-    per_key = df.groupBy(day.alias("day"), F.col(key).alias("key")).agg(F.count("*").alias("n"))
-    return per_key.groupBy("day").agg(F.sum("n").alias("rows"), F.count("key").alias("keys"))
+    return _day_counts(_key_counts(df, day, key))
 
 
-def daily_amounts(df: DataFrame, day: Column, *, id_column="id", currency="currency_code", kind="type", amount="amount") -> DataFrame:
-    """Counts and decimal sums per (day, currency, type) with the day's totals on each row.
-
-    One scan: the day's figures are windows over the grouped rows, of which a day has
-    one per currency and type.
-    """
+def _amount_groups(df: DataFrame, day: Column, id_column="id", currency="currency_code", kind="type", amount="amount") -> DataFrame:
     number = F.col(id_column).cast("bigint")
-    groups = df.groupBy(day.alias("day"), F.col(currency).alias("currency_code"), F.col(kind).alias("type")).agg(
+    return df.groupBy(day.alias("day"), F.col(currency).alias("currency_code"), F.col(kind).alias("type")).agg(
         F.min(number).alias("low"),
         F.max(number).alias("high"),
         F.count("*").alias("n"),
         F.sum(F.col(amount).cast(MONEY)).cast(MONEY).alias("amount"),
     )
+
+
+def _day_amounts(groups: DataFrame) -> DataFrame:
     over_day = W.partitionBy("day")
     return groups.select(
         "day",
@@ -137,6 +142,38 @@ def daily_amounts(df: DataFrame, day: Column, *, id_column="id", currency="curre
     )
 
 
+def daily_amounts(df: DataFrame, day: Column, *, id_column="id", currency="currency_code", kind="type", amount="amount") -> DataFrame:
+    """Counts and decimal sums per (day, currency, type) with the day's totals on each row.
+
+    One scan: the day's figures are windows over the grouped rows, of which a day has
+    one per currency and type.
+    """
+    return _day_amounts(_amount_groups(df, day, id_column, currency, kind, amount))
+
+
+def partial_figures(spec: ReconSpec, rows: DataFrame, side: str = "target") -> DataFrame:
+    """What one batch of a stream adds to its daily figures; parts of several batches can be merged.
+
+    Streams compared by amount have a row per (day, currency, type); the others one per
+    (day, key), since distinct keys of two batches cannot be added up.
+    """
+    column = spec.day if side == "source" else spec.target_day or spec.day
+    if column is None:
+        raise ValueError(f"{spec.stream} is compared by run date: its {side} has no day to keep figures by")
+    dated, day = _days(rows, column, None, None)
+    return _amount_groups(dated, day) if spec.by_amount else _key_counts(dated, day, spec.key)
+
+
+def merged_figures(spec: ReconSpec, parts: DataFrame) -> DataFrame:
+    """The daily figures of all batches whose parts are given, as if their rows were counted together."""
+    if not spec.by_amount:
+        return _day_counts(parts.groupBy("day", "key").agg(F.sum("n").alias("n")))
+    total = parts.groupBy("day", "currency_code", "type").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.sum("amount").cast(MONEY).alias("amount")
+    )
+    return _day_amounts(total)
+
+
 def _prefixed(df: DataFrame, side: str, grain: list[str]) -> DataFrame:
     return df.select(*grain, *[F.col(c).alias(f"{side}_{c}") for c in df.columns if c not in grain])
 
@@ -162,18 +199,41 @@ def reconcile(
         if side == "target" and day and spec.day_is_partition:
             df = df.filter(F.col("date") == day_text(F.lit(day)))
         rows, day_of_row = _days(df, column, day, day)
-        if spec.by_amount:
-            figures = daily_amounts(rows, day_of_row)
-        else:
-            counts = daily_counts(rows, day_of_row, spec.key)
-            figures = counts.select("day", F.col("rows").alias(ROWS), F.col("keys").alias(f"total_{spec.label}_for_date"))
-        grain = ["day", "currency_code", "type"] if spec.by_amount else ["day"]
+        sides.append(daily_amounts(rows, day_of_row) if spec.by_amount else daily_counts(rows, day_of_row, spec.key))
+    return _side_by_side(spec, *sides, run_ts, how)
+
+
+def _side_by_side(spec: ReconSpec, source: DataFrame, target: DataFrame, run_ts: datetime | None, how: str) -> DataFrame:
+    grain = ["day", "currency_code", "type"] if spec.by_amount else ["day"]
+    sides = []
+    for side, figures in (("source", source), ("target", target)):
+        if not spec.by_amount:
+            figures = figures.select("day", F.col("rows").alias(ROWS), F.col("keys").alias(f"total_{spec.label}_for_date"))
         sides.append(_prefixed(figures, side, grain))
     # Both sides are already grouped and placed by the day.
     result = sides[0].join(sides[1], grain, how).withColumnRenamed("day", "reconciliation_date")
     return result.withColumn("timestamp_extracted", run_time(run_ts)) if run_ts else result
 
 
+def reconcile_parts(
+    spec: ReconSpec,
+    source_parts: DataFrame,
+    target_parts: DataFrame,
+    run_date: date | None = None,
+    run_ts: datetime | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """`reconcile` from the parts that batches have left (`partial_figures`), without their rows.
+
+    A target that keeps its parts is not scanned: only rows that are new since the
+    last run have ever been read for them.
+    """
+    if run_date:
+        at = F.col("day") == F.lit(yesterday(run_date))
+        source_parts, target_parts = source_parts.filter(at), target_parts.filter(at)
+    return _side_by_side(spec, merged_figures(spec, source_parts), merged_figures(spec, target_parts), run_ts, how)
+
+
 def target_has_day(spec: ReconSpec, target: DataFrame, run_date: date) -> bool:
     """Whether the lake holds anything for the day before the run."""
     column = spec.target_day or spec.day

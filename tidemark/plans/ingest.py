@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.naming import rename_in_order, snake_case, snake_words
 from tidemark.functions.text import clean_json
 from tidemark.operators.bookmarks import high_water_mark
+from tidemark.operators.chunks import read_time
 from tidemark.operators.diff import BOTH, SOURCE_ONLY, TARGET_ONLY, compare_keys, keys_found
 from tidemark.operators.flatten import Leaf, flatten
 from tidemark.operators.shape import NESTED, add_meta, leftovers_as_text
@@ -47,14 +48,15 @@ class Event:
 
 
 def _utc(text: str) -> str:
-    return datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=timezone.utc).isoformat()
+    return read_time(text).replace(tzinfo=timezone.utc).isoformat()
 
 
-def parse_event(raw: Mapping, now: datetime, lake: DataFrame | None = None) -> Event:
+def parse_event(raw: Mapping, now: datetime, lake: DataFrame | None = None, mark: str | None = None) -> Event:
     """Check and complete an event.
 
     The range starts where the event says, else at the lake's high-water mark when the
-    stream has a change field; it ends where the event says, else now.
+    stream has a change field; it ends where the event says, else now.  `mark` is that
+    mark where the table's commits know it (`ledger.bookmark`); else the lake is read for it.
     """
     for key in ("endpoint", "table_name", "request_type"):
         if key not in raw:
@@ -63,6 +65,8 @@ def parse_event(raw: Mapping, now: datetime, lake: DataFrame | None = None) -> E
     start = raw.get("start_date")
     if start:
         start = _utc(start)
+    elif cdc and mark:
+        start = mark
     elif cdc:
         if lake is None:
             raise ValueError(f"{raw['table_name']} has no table to take the start from")
@@ -147,17 +151,16 @@ def ingest(
     target: str,
     run_ts: datetime,
     catalog: TableCatalog | None = None,
+    write: Callable[[DataFrame], object] | None = None,
 ) -> DataFrame:
     """Read what the event asks for from the landed records, process it and append it.
 
     `landed` has the source's own (camelCase) columns.  An empty read writes nothing.
+    `write` takes the processed rows; by default they are appended to `target`.
     Returns one summary row.
     """
-    rows = landed
-    if event.cdc_field:
-        rows = add_meta(landed, run_ts, event.cdc_field).drop("date", "timestamp_extracted")
     wanted = read_stream(
-        rows,
+        with_change_time(landed, run_ts, event.cdc_field),
         event.endpoint,
         event.request_type,
         cdc=event.cdc_field or None,
@@ -165,6 +168,25 @@ def ingest(
         end=event.end_date,
         ordered=False,
     )
+    return ingest_rows(spark, event, wanted, target, run_ts, catalog, write)
+
+
+def with_change_time(landed: DataFrame, run_ts: datetime, cdc_field: str) -> DataFrame:
+    """The change field, if there is one, parsed in place."""
+    return add_meta(landed, run_ts, cdc_field).drop("date", "timestamp_extracted") if cdc_field else landed
+
+
+def ingest_rows(
+    spark: SparkSession,
+    event: Event,
+    wanted: DataFrame,
+    target: str,
+    run_ts: datetime,
+    catalog: TableCatalog | None = None,
+    write: Callable[[DataFrame], object] | None = None,
+) -> DataFrame:
+    """Process and append rows that are all wanted; one summary row."""
+    write = write or (lambda rows: tables.append(rows, target))
     # Staged, so that the landed files are read and parsed once: looking for empty
     # columns and writing each read the batch again.
     path, count = new_path(spark, "batch"), 0
@@ -180,7 +202,7 @@ def ingest(
             )
             # Counted while it is written, not in a second pass.
             written = Observation()
-            tables.append(shaped.observe(written, F.count(F.lit(1)).alias("n")), target)
+            write(shaped.observe(written, F.count(F.lit(1)).alias("n")))
             count = written.get["n"]
     finally:
         release(spark, path)

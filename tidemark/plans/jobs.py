@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.timestamps import parse_catalogued, parse_timestamp
+from tidemark.functions.naming import snake_words
+from tidemark.functions.timestamps import on_day, parse_catalogued, parse_timestamp, yesterday
 from tidemark.operators.bookmarks import advance_bookmarks
-from tidemark.operators.chunks import FATAL, LAYOUT, backfill, parse_range
+from tidemark.operators.chunks import FATAL, backfill, landed_by_chunk, parse_range
 from tidemark.operators.customfields import NO_VALUE, any_slot_in, channel_custom_fields, pivot_custom_fields
 from tidemark.operators.diff import compare_keys
-from tidemark.operators.documents import installment_table, installments_for, product_configurations
+from tidemark.operators.documents import installment_table, installments_for, installments_known, product_configurations
 from tidemark.operators.flatten import flatten
-from tidemark.operators.reconcile import ReconSpec, check_counts, reconcile, result_catalog, target_has_day
-from tidemark.operators.repair import repair_and_reconcile
+from tidemark.operators.reconcile import ReconSpec, check_counts, partial_figures, reconcile, reconcile_parts, result_catalog, target_has_day
+from tidemark.operators.repair import late_rows, repair_and_reconcile
 from tidemark.operators.shape import add_meta, run_time
 from tidemark.plans.catalog import TableCatalog, from_names, slot_catalog
-from tidemark.plans.ingest import ingest, parse_event
-from tidemark.sinks import tables
+from tidemark.plans.ingest import ingest, ingest_rows, parse_event, with_change_time
+from tidemark.plans.staging import new_path, release, stage
+from tidemark.sinks import keyed, ledger, tables
+from tidemark.sinks.ledger import Settings
 from tidemark.sources.landed import read_json_lines
 from tidemark.sources.reads import distinct_keys
 
@@ -30,19 +33,55 @@ def backfill_ingest(
 ) -> tuple[int, DataFrame | None]:
     """Ingest a long range in chunks of `chunk_hours` (24), one after another.
 
-    Returns the outcome code and the status of each chunk.  Chunks include both ends,
-    so a row exactly on a boundary is appended twice.
+    Of a stream with a change field the landed records are read and parsed once, for all
+    chunks; a chunk then reads its own rows only.  Records that cannot be read fail
+    every chunk.  Returns the outcome code and the status of each chunk.  Chunks include
+    both ends, so a row exactly on a boundary is appended twice.
     """
     try:
         start, end = parse_range(raw_event["start_date"], raw_event.get("end_date"), run_ts)
+        hours = int(raw_event.get("chunk_hours", 24))
     except (KeyError, TypeError, ValueError):
         return FATAL, None
+    path, landing = new_path(spark, "chunks"), {}
+
+    def rows_of(number: int, cdc_field: str) -> DataFrame:
+        if not landing:
+            try:
+                timed = with_change_time(landed, run_ts, cdc_field)
+                landing["rows"] = landed_by_chunk(timed, cdc_field, start, end, hours, path)
+            except Exception as failure:  # every chunk needs these rows
+                landing["failure"] = failure
+        if "failure" in landing:
+            raise landing["failure"]
+        return landing["rows"](number)
 
     def job(first: datetime, last: datetime) -> int:
-        event = parse_event({**raw_event, "start_date": first.strftime(LAYOUT), "end_date": last.strftime(LAYOUT)}, run_ts)
+        event = parse_event({**raw_event, "start_date": str(first), "end_date": str(last)}, run_ts)
+        if event.request_type == "post" and event.cdc_field:
+            number = (first - start) // timedelta(hours=hours) + 1
+            return ingest_rows(spark, event, rows_of(number, event.cdc_field), target, run_ts, catalog).first().records_count
         return ingest(spark, event, landed, target, run_ts, catalog).first().records_count
 
-    return backfill(spark, start, end, int(raw_event.get("chunk_hours", 24)), job)
+    try:
+        return backfill(spark, start, end, hours, job)
+    finally:
+        release(spark, path)
+
+
+def ingest_next(
+    spark: SparkSession, raw_event: Mapping, landed: DataFrame, target: str, run_ts: datetime, catalog: TableCatalog | None = None, settings: Settings | None = None
+) -> DataFrame:
+    """Ingest from where the table's last commit ends, and commit the new end with the rows.
+
+    The start comes from the commit record, so no file of the lake is read for it.  A run
+    that overlaps with another one is refused (`ledger.Behind`) and leaves nothing behind.
+    The first run needs a `start_date`.  Returns one summary row.
+    """
+    cdc = snake_words(raw_event.get("cdc_field") or "")
+    known = ledger.create(spark, target, settings or Settings(change=cdc or None))
+    event = parse_event(raw_event, run_ts, mark=known.bookmark)
+    return ingest(spark, event, landed, target, run_ts, catalog, lambda rows: ledger.commit(rows, target, after=known.number))
 
 
 def stream_table(
@@ -124,15 +163,51 @@ def reconcile_stream(
     return ("match" if checks.filter("status <> 0").isEmpty() else "mismatch"), checks
 
 
+def reconcile_table(
+    spec: ReconSpec, source: DataFrame, target: str, run_ts: datetime, *, repair: bool = False
+) -> tuple[str, DataFrame | None, DataFrame | None]:
+    """Reconcile yesterday with a table that keeps its days and figures (`ledger.Settings`); with `repair`, commit late rows.
+
+    The table's figures come from the parts its batches left.  Its rows are read only where
+    the counts differ, and then only the keys of the partitions that hold rows of the day,
+    wherever earlier repairs have put them.  The source is counted once, late rows are
+    found once, and after a repair only the new batch has been read again.
+
+    Returns the outcome, the checks and the late rows (None where there are none).
+    """
+    spark, day = source.sparkSession, yesterday(run_ts.date())
+    if not ledger.day_partitions(spark, target, day):
+        return "no_target_rows", None, None
+    parts = stage(partial_figures(spec, source.filter(on_day(source, spec.day, day)), "source"), "source-parts")
+
+    def checked() -> DataFrame:
+        recon = reconcile_parts(spec, parts, ledger.figures(spark, target), run_ts.date(), run_ts)
+        return stage(check_counts(recon, spec), "checks")
+
+    checks, late = checked(), None
+    if repair and spec.by_amount and not checks.filter("status <> 0").isEmpty():
+        late = stage(late_rows(source, ledger.rows_of_day(spark, target, day), run_ts, key=spec.key, day_column=spec.day), "late")
+        if late.isEmpty():
+            late = None
+        else:
+            ledger.commit(late, target)
+            checks = checked()
+    return ("match" if checks.filter("status <> 0").isEmpty() else "mismatch"), checks, late
+
+
 def refresh_installments(
-    documents: DataFrame, accounts: DataFrame, target: str, run_ts: datetime, catalog: TableCatalog | None = None
+    documents: DataFrame, accounts: DataFrame, target: str, run_ts: datetime, catalog: TableCatalog | None = None, registry: str | None = None
 ) -> DataFrame:
-    """Installments of all accounts, one partition per loan, replacing those loans' old rows.
+    """Installments of all accounts, replacing those loans' old rows; other loans stay.
 
-    Returns the rejected documents.
+    Loans lie in hash buckets, of which the touched ones are rewritten.  With `registry`,
+    a folder, the leaf paths of earlier runs are used and kept.  Returns the rejected documents.
     """
-    flat, rejects = installments_for(documents, accounts, run_ts=run_ts)
-    tables.overwrite_partitions(installment_table(flat, catalog), target, ("loan_account_id",))
+    if registry:
+        flat, rejects = installments_known(documents, accounts, registry, run_ts=run_ts)
+    else:
+        flat, rejects = installments_for(documents, accounts, run_ts=run_ts)
+    keyed.replace_keys(installment_table(flat, catalog), target, "loan_account_id")
     return rejects
 
 

@@ -4,6 +4,6 @@ from __future__ import annotations
 
 from tidemark.queries.registry import SQL, QUERIES
 
-from tidemark.queries import diffing, fields, ingesting, reconciling, shaping, writing  # noqa: F401  (they register)
+from tidemark.queries import diffing, fields, ingesting, lakes, reconciling, shaping, writing  # noqa: F401  (they register)
 
 __all__ = ["QUERIES", "SQL"]

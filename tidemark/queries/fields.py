@@ -96,6 +96,9 @@ def _card_events(spark, sf_dir):
     )
 
 
+CHANNEL_ROWS = "SELECT event_id AS id, event_type AS kind, strftime(ts, '%Y%m%d') AS date FROM events WHERE event_type IN ('purchase', 'click') AND value >= 5"
+
+
 @query(
     "channel_filter",
     "SELECT event_id AS id, event_type AS kind FROM events WHERE event_type IN ('purchase', 'click') AND value >= 5",

@@ -414,7 +414,7 @@ def process_records_inferred(spark, sf_dir):
     return shaped.withColumn("creation_date", stamp("creation_date")).drop("timestamp_extracted")
 
 
-def _schedule_documents(spark, sf_dir):
+def _schedule_documents(spark, sf_dir, orders=None):
     """One document per order: a schedule of up to three installments, or errors."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'")
     part = F.transform(
@@ -431,7 +431,8 @@ def _schedule_documents(spark, sf_dir):
     reason = F.when(F.col("o_orderpriority") == "5-LOW", "INVALID_LOAN_ACCOUNT_ID").otherwise("LOCKED")
     good = F.to_json(F.struct(part.alias("installments")))
     bad = F.to_json(F.struct(F.array(F.struct(reason.alias("errorReason"))).alias("errors")))
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
+    return orders.select(
         F.col("o_orderkey").cast("string").alias("loan_account_id"),
         F.when(F.col("o_orderstatus") == "P", bad).otherwise(good).alias("document"),
     )

@@ -6,19 +6,16 @@ evenly sized files, and splits a value that holds much of the batch over many ta
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans.catalog import TableCatalog, with_comments
-
-
-DYNAMIC = "spark.sql.sources.partitionOverwriteMode"
-
+from tidemark.sinks import ledger, schemas
 
 def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
     """Into an existing catalog table: columns it lacks are added, columns the batch lacks are null.
@@ -35,12 +32,18 @@ def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
         F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in spark.table(table).schema
     ]
-    before = spark.conf.get(DYNAMIC)
-    spark.conf.set(DYNAMIC, "dynamic")
+    if not overwrite:
+        return df.select(*columns).write.insertInto(table)
+    # Into a table of the catalog only a setting tells which partitions an overwrite replaces; a session of its own has it.
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    view = f"batch_{uuid.uuid4().hex}"
+    df.select(*columns).createGlobalTempView(view)
     try:
-        df.select(*columns).write.insertInto(table, overwrite=overwrite)
+        own.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM global_temp.{view}")
     finally:
-        spark.conf.set(DYNAMIC, before)
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(table)
 
 
 def _refuse_stream_sink(spark: SparkSession, path: str) -> None:
@@ -50,55 +53,48 @@ def _refuse_stream_sink(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} is written by a stream; rows appended to it would not be read back")
 
 
-def _fitted(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> DataFrame:
-    """`df` with the types that the files of a table by path have for its columns; a value that does not fit fails the write.
-
-    The types are those of one file; columns it lacks are written as they are.
-    """
-    try:
-        known = {f.name: f.dataType for f in df.sparkSession.read.parquet(path).schema}
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return df
-        raise
-    simple = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
-    changed = {}
-    for f in df.schema:
-        kind = known.get(f.name)
-        if f.name in partition_by or kind is None or kind == f.dataType or not (isinstance(kind, simple) and isinstance(f.dataType, simple)):
-            continue
-        column = F.col(f"`{f.name.replace('`', '``')}`")
-        cast = column.cast(kind)
-        if isinstance(kind, T.NumericType) and isinstance(f.dataType, T.NumericType):
-            misfit = column.isNotNull() & ~cast.cast(f.dataType).eqNullSafe(column)
-        else:
-            misfit = column.isNotNull() & column.try_cast(kind).isNull()
-        text = F.concat(F.lit(f"{f.name}: "), column.cast("string"), F.lit(f" does not fit {kind.simpleString()}"))
-        changed[f.name] = F.when(misfit, F.raise_error(text)).otherwise(cast)
-    return df.withColumns(changed) if changed else df
-
-
 def _save(
     df: DataFrame, target: str, mode: str, partition_by: tuple[str, ...], dynamic: bool, comments: dict[str, str] | None
 ) -> None:
+    spark, by_path, whole = df.sparkSession, "/" in target, mode == "overwrite" and not dynamic
+    if ledger.is_ledger(spark, target):
+        if mode == "append":
+            ledger.commit(df, target)
+            return None
+        raise ValueError(f"{target} is written batch by batch; its partitions cannot be replaced")
     df = with_comments(df, comments) if comments else df
+    if by_path and not whole:
+        _refuse_stream_sink(spark, target)
+        known = schemas.schema_of(spark, target)
+        df = schemas.fitted(df, known, partition_by)
+    kept = schemas.merged(None if whole or not by_path else known, df.schema, partition_by)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    if "/" not in target and (mode == "append" or dynamic) and df.sparkSession.catalog.tableExists(target):
+    if not by_path and not whole and spark.catalog.tableExists(target):
         return _insert(df, target, overwrite=dynamic)
-    if "/" in target and mode == "append":
-        _refuse_stream_sink(df.sparkSession, target)
-        df = _fitted(df, target, partition_by)
+    if by_path and not whole:
+        # Logged first: a column no file has yet reads as null, one the log lacks would not be read.
+        schemas.keep(spark, target, kept)
     writer = df.write.mode(mode).format("parquet").option("compression", "snappy")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.save(target) if "/" in target else writer.saveAsTable(target)
+    if not by_path:
+        return writer.saveAsTable(target)
+    writer.save(target)
+    if whole:
+        schemas.keep(spark, target, kept)
+    return None
 
 
 def append(df: DataFrame, target: str, partition_by: tuple[str, ...] = ("date",), comments=None) -> None:
-    """Add rows; new columns are allowed, older files read them as null."""
+    """Add rows; new columns are allowed, older files read them as null.
+
+    By path, the batch takes the types of the columns the table has had so far (see
+    `schemas`); a value that does not fit is an error before anything is written.
+    A table that streams write (see `ledger`) gets the rows as one committed batch.
+    """
     _save(df, target, "append", partition_by, False, comments)
 
 

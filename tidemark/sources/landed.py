@@ -20,13 +20,34 @@ def read_json_lines(spark: SparkSession, folder: str, stream: str) -> DataFrame
     return lines.filter(F.length(F.btrim("value")) > 0).select(F.col("value").alias("record"))
 
 
+def step(key: str | int) -> str | None:
+    """One step of a VARIANT path; None for a key no path can spell, which holds both kinds of quotes."""
+    if isinstance(key, int):
+        return f"[{key}]"
+    quote = next((q for q in ("'", '"') if q not in key), None)
+    return quote and f"[{quote}{key}{quote}]"
+
+
+def value_at(document: Column, keys: Iterable[str | int], kind: str) -> Column:
+    """What stands under a chain of keys and indexes of a VARIANT, as `kind`; null where it is not there."""
+    path = "$"
+    for key in keys:
+        spelt = step(key)
+        if spelt is None:
+            fields = F.try_variant_get(document, path, "map<string,variant>")
+            document, path = F.try_element_at(fields, F.lit(key)), "$"
+        else:
+            path += spelt
+    return F.try_variant_get(document, path, kind)
+
+
 def select_objects(document: Column, keys: Iterable[str]) -> Column:
     """From a VARIANT document: one key gives its value, several give the sub-object of
     the keys that are present."""
     keys = list(keys)
 
     def child(key: str) -> Column:
-        return F.try_variant_get(document, f"$['{key}']", "variant")
+        return value_at(document, [key], "variant")
 
     if not keys:
         return document

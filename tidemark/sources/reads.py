@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timestamps import try_parse_timestamp
+from tidemark.sinks import keyed, ledger, schemas
 
 # The categories a full read asks for one after another.
 LEDGER_TYPES = ("ASSET", "LIABILITY", "EQUITY", "INCOME", "EXPENSE")
@@ -129,11 +130,18 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
 def read_table(spark: SparkSession, name_or_path: str, schema: T.StructType | None = None, merge: bool = True) -> DataFrame:
     """A lake table by catalog name or by path.
 
-    By path, files of different ages are merged by column, which reads every file's
-    footer; give the schema, or `merge=False` for columns all files have, to avoid it.
+    A table by path that the library has written keeps its schema beside it, and one
+    that is written batch by batch shows what is committed.  Of others, files of
+    different ages are merged by column, which reads every file's footer; give the
+    schema, or `merge=False` for columns all files have, to avoid it.
     """
     if "/" not in name_or_path:
         return spark.table(name_or_path)
+    if ledger.is_ledger(spark, name_or_path):
+        return ledger.read(spark, name_or_path)
+    if keyed.is_keyed(spark, name_or_path):
+        return keyed.read_keyed(spark, name_or_path)
+    schema = schema or schemas.logged_schema(spark, name_or_path)
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", str(merge).lower())
     return reader.parquet(name_or_path)
 

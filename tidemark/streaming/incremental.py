@@ -1,11 +1,12 @@
 """Incremental append: what has landed since the last run, exactly once.
 
 The checkpoint takes the place of the bookmark.  A run reads the files that are new,
-appends their rows and stops, so it can be scheduled like a batch job.
+commits their rows and stops, so it can be scheduled like a batch job.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.timestamps import day_text
+from tidemark.sinks.ledger import Settings, commit, create
 
 
 def landed_stream(
@@ -39,14 +41,25 @@ def append_available(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     partition_by: tuple[str, ...] = ("date",),
+    writer: str | None = None,
+    settings: Settings | None = None,
 ) -> StreamingQuery:
-    """Append all that is there now and stop; running it again adds only what is new."""
+    """Append all that is there now and stop; running it again adds only what is new.
+
+    Each micro-batch is committed once under the number the checkpoint gives it, so one
+    that is replayed after a lost driver adds nothing.  The table may be written by
+    batch jobs as well.  `writer` names the stream in the table's commits; by
+    default it follows from the checkpoint's path.
+    """
+    spark = stream.sparkSession
+    name = writer or f"stream-{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+    known = create(spark, target, settings or Settings(partition_by))
+    if known.settings.partition_by != tuple(partition_by):
+        raise ValueError(f"{target} is partitioned by {known.settings.partition_by}")
     rows = transform(stream) if transform else stream
     query = (
-        rows.writeStream.format("parquet")
-        .option("path", target)
+        rows.writeStream.foreachBatch(lambda batch, number: commit(batch, target, name, number) and None)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*partition_by)
         .trigger(availableNow=True)
         .start()
     )
