@@ -88,7 +88,7 @@ def test_hosts_against_what_was_planted(spark):
             title, parts = prose(4), [prose(30) for _ in range(rng.randint(1, 5))]
             body = f"<div class='story'><h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in parts) + "</div>"
             side = f"<div class='box one'><p>{fixed[1]}</p></div>"
-            middle = body + side if n % 5 else side + body
+            middle = body + side if n % 5 or count == 2 else side + body
             rows.append((i, f"https://{host.upper()}/{n}", f"<body><div class='top'><p>{fixed[0]}</p></div>{middle}<table><tr><td>{fixed[2]}<td>{fixed[3]}</table></body>"))
             wanted[i] = " ".join([title, *parts])
     assert texts(wrapper.main_text(pages_frame(spark, rows))) == wanted
@@ -170,9 +170,9 @@ def test_shares_agree_with_plain_counts(spark):
     for i in range(400):
         text = " ".join(rng.choice(words, 15))
         if i % 8 == 0:
-            text += f" Quendor of İzmir wrote a{i % 3}@b.example {'Zork' if i % 16 else ''}"
+            text += f" Quendor of İzmir wrote a@b.example {'Zork' if i % 16 else ''}"
         if i % 5 == 0:
-            text += f" +1 555 010 {1000 + i % 2} Straße"
+            text += f" +1 555 010 1000 Straße {words[i % 3] if i % 10 else 'Allee'}"
         docs.append(text)
     frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").selectExpr("doc_id", "text", "doc_id AS uid")
     common, entities = pii.with_entities(pii.scanned(frame), 3)

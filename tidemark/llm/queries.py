@@ -174,8 +174,8 @@ def op11_filter_audit(spark, sf_dir):
     """
     WITH RECURSIVE sound AS (
         SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings
-        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-            AND len(list_filter(embedding, x -> x <> 0)) > 0
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            AND len([x FOR x IN embedding IF x <> 0]) > 0
     ),
     links AS (
         SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id

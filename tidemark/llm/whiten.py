@@ -177,8 +177,8 @@ def whiten(rows: DataFrame, key: str, vector: str, components: int = 8) -> DataF
         for batch in batches:
             x = _matrix(batch, size)
             white = (x - mean) @ axes
-            reach = float(np.abs(x.astype(np.float64)).max(initial=0.0)) * n
-            if 4 * reach * reach * size < SAFE and max(map(abs, total)) < SAFE:
+            reach = float(np.abs(x.astype(np.float64)).max(initial=0.0)) * n + max(map(abs, total))
+            if reach * reach * size < SAFE:
                 off = x * n - np.array(total, dtype=np.int64)
                 far = (off * off).sum(1).tolist()
             else:

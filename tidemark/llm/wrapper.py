@@ -343,8 +343,8 @@ def slots(trees: DataFrame, templates: DataFrame, together: int = 128) -> DataFr
         return pd.DataFrame({"host": group["host"], "tree_id": group["tree_id"], "slots": [align(json.loads(t), whole) for t in group["tree"]]})
 
     lots = staged(_dealt(trees, together), "tree-lots")
-    whole = lots.select("host", "lot").distinct().join(templates, "host")
-    return lots.groupBy("host", "lot").cogroup(whole.groupBy("host", "lot")).applyInPandas(place, schema)
+    whole = lots.select("host", "lot").distinct().join(templates, "host").toDF("of_host", "of_lot", "tree")
+    return lots.groupBy("host", "lot").cogroup(whole.groupBy("of_host", "of_lot")).applyInPandas(place, schema)
 
 
 def main_text(pages: DataFrame, share: float = 0.6) -> DataFrame:
