@@ -211,3 +211,27 @@ def test_personal_data_in_awkward_rows(spark):
     assert len(found) == 6 and sorted(r["n_phone"] for r in found) == [0, 0, 0, 0, 1, 1] and sorted(r["n_email"] for r in found) == [0, 0, 0, 0, 1, 1]
     assert {r["spans"] for r in found if r["doc_id"] == 3} == {"email:11:22"}
     assert re.fullmatch(r"phone:\d+:\d+", next(r["spans"] for r in found if r["doc_id"] == 2))
+
+
+def test_budgets_with_very_long_texts():
+    """Long lengths are greedy, the table stays small, and what short texts can reach is reached exactly."""
+    from tidemark.llm import mix
+
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        lengths = np.unique(rng.integers(1, 40, rng.integers(1, 6)))
+        counts = rng.integers(1, 5, len(lengths))
+        budget = int(rng.integers(1, max(2, int((lengths * counts).sum()))))
+        reachable = {0}
+        for length, count in zip(lengths, counts):
+            reachable = {r + int(length) * k for r in reachable for k in range(int(count) + 1)}
+        for long in (mix.LONG, 10):
+            taken = mix.subset(lengths, counts, budget, long)
+            off = abs(int((lengths * taken).sum()) - budget)
+            assert ((0 <= taken) & (taken <= counts)).all()
+            if long == mix.LONG:
+                assert off <= min(abs(r - budget) for r in reachable) + 4 * int(lengths.max())
+    begin = time.process_time()
+    taken = mix.subset(np.array([1, 3, 50_000_000]), np.array([500, 500, 7]), 160_000_000)
+    assert taken.tolist() == [500, 500, 3] and time.process_time() - begin < 5
+    assert mix.subset(np.array([40_000_000, 50_000_000]), np.array([1, 1]), 48_000_000).tolist() in ([0, 1], [1, 0])

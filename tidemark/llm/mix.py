@@ -16,12 +16,17 @@ def word_count(column: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(column).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+# Texts of more words are taken greedily; the table of reachable totals is over shorter ones, so its size is bounded.
+LONG = 1 << 20
+
+
+def subset(lengths: np.ndarray, counts: np.ndarray, budget: int, long: int = LONG) -> np.ndarray:
     """How many of each length to take so that the total comes as near `budget` as its bounds allow.
 
     Every length first gives its share, rounded down.  Large pieces bring the rest
-    under four times the longest length, and a bounded-knapsack table over that rest
-    finds the reachable total nearest to it; counts are split in powers of two.
+    under four times the longest length up to `long`, and a bounded-knapsack table over that rest
+    finds the reachable total nearest to it; counts are split in powers of two.  Lengths beyond
+    `long` are only taken while they fit, longest first, and if nothing shorter is left, once more where that comes nearer.
     """
     total = int((lengths * counts).sum())
     if budget >= total:
@@ -29,13 +34,23 @@ def subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     taken = (counts * (budget / total)).astype(np.int64)
     rest = budget - int((lengths * taken).sum())
     order = np.argsort(-lengths, kind="stable")
-    keep = 4 * int(lengths.max())
+    short = lengths <= long
+    keep = 4 * int(lengths[short].max(initial=0))
     for i in order:
         if rest <= keep:
             break
-        more = min(int(counts[i] - taken[i]), (rest - keep) // int(lengths[i]) + 1)
+        left, length = int(counts[i] - taken[i]), int(lengths[i])
+        more = min(left, (rest - keep) // length + 1 if short[i] else rest // length)
         taken[i] += more
-        rest -= more * int(lengths[i])
+        rest -= more * length
+    if rest > keep:
+        # Only lengths that do not fit are left.
+        over = [i for i in order if taken[i] < counts[i] and abs(rest - int(lengths[i])) < rest]
+        if over:
+            taken[min(over, key=lambda i: abs(rest - int(lengths[i])))] += 1
+        return taken
+    if rest == 0:
+        return taken
     # The table reaches past the rest by the shortest piece, so that the nearest total may lie on either side.
     reach = rest + int(lengths.min())
     via = np.full(reach + 1, -1, dtype=np.int32)

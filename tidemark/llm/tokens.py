@@ -6,9 +6,8 @@ import os
 import re
 import string
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +19,8 @@ from pyspark.sql import functions as F
 CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 # With other white space in the text the borders are less plain: encode it whole.
 OTHER_SPACE = re.compile(r"[^\S \n\t\r]")
+# Where such stand, white space is more than single spaces and line breaks.
+GAPS = ("  ", "\t", "\r", "\n\n", " \n", "\n ")
 # Nor does it join a letter or digit with the signs after it.
 SIGNS = string.punctuation
 PROBE = " \u00e9ab\u00fc\u4e2d\u00ff"
@@ -32,11 +33,29 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Words(dict):
+    """The ids of the `size` latest pieces of text, and of those that were used while the ones before them were the latest."""
+
+    def __init__(self, encode: Callable[[str], bytes], size: int):
+        super().__init__()
+        self.encode, self.size, self.older = encode, size, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Texts to little-endian id arrays; equal to `Tokenizer.encode` for byte-level BPE with its own word pattern.
 
-    Words repeat, so their ids are kept: the `words` latest, and those that were used
-    while the ones before them were the latest.
+    Words repeat, so their ids are kept, and a text of words with one space or line break between
+    them is cut where these stand.
     """
 
     def __init__(self, path: str, words: int = 500_000):
@@ -46,63 +65,52 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.dtype = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
-        self.words, self.known, self.older = words, {}, {}
-        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip or t.single_word)]
-        self.separator_id, self.separator = special[0] if special else (None, None)
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else re.compile(r"(?!)")
         self.letters = byte_letters()
         # Machines that Spark runs on are little-endian, as the ids are.
         self.code = "H" if self.dtype == "<u2" else "I"
+        self.merge = self.tokenizer.model.tokenize
+        self.space = self.letters[ord(" ")]
         # A word of letters goes to the merges themselves, if that gives the same ids.
-        self.direct = self._merge(PROBE) == self._encode([PROBE])[0]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
-
-    def _merge(self, word: str) -> bytes:
-        found = self.tokenizer.model.tokenize(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters))
-        return array(self.code, [t.id for t in found]).tobytes()
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """One call for many words: a special token stands between them, and nothing merges across it."""
-        if self.separator is None or any(self.separator in w for w in words):
-            return self._encode(words)
-        ids = np.array(self.tokenizer.encode_batch_fast([self.separator.join(words)], add_special_tokens=False)[0].ids, dtype=self.dtype)
-        ends = np.append(np.flatnonzero(ids == self.separator_id), len(ids)).tolist()
-        data, width, at, found = ids.tobytes(), ids.itemsize, 0, []
-        for end in ends:
-            found.append(data[at * width : end * width])
-            at = end + 1
-        return found
-
-    def _learn(self, chunks: list[list[str] | None]) -> None:
-        missing = set(filterfalse(self.known.__contains__, chain.from_iterable(c for c in chunks if c)))
-        if not missing:
-            return
-        if len(self.known) + len(missing) > self.words:
-            # What this call needs must be in one table: start it with all of that.
-            self.older, self.known = self.known, {}
-            missing = set(chain.from_iterable(c for c in chunks if c))
-        again = missing & self.older.keys()
-        self.known.update((w, self.older[w]) for w in again)
-        new = missing - again
-        parts = {w: (core, w[len(core) :]) for w in new if len(core := w.rstrip(SIGNS)) < len(w) and core[-1:].isalnum() and not (self.separator and self.separator in w)}
-        for piece in set(chain(new.difference(parts), *parts.values())) - self.known.keys():
-            if piece in self.older:
-                self.known[piece] = self.older[piece]
-            elif self.direct and piece.removeprefix(" ").isalpha():
-                self.known[piece] = self._merge(piece)
-        rest = list(set(chain(new.difference(parts), *parts.values())) - self.known.keys())
-        if rest:
-            self.known.update(zip(rest, self._encode_words(rest)))
-        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parts.items())
+        self.direct = self._merged(PROBE) == self._encode(PROBE) and self._merged(PROBE.strip()) == self._encode(PROBE.strip())
+        # What stands after a space, or is a line break with what follows it; and pieces as they are.
+        self.known = Words(self._piece, words)
+        self.raw = Words(self._chunk, max(1, words // 4))
+
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype).tobytes()
+
+    def _merged(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+        elif word[:1] == " ":
+            word = self.space + word[1:]
+        return array(self.code, [t.id for t in self.merge(word)]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        word = chunk.removeprefix(" ")
+        if self.direct and word.isalpha():
+            return self._merged(chunk)
+        core = chunk.rstrip(SIGNS)
+        if len(core) < len(chunk) and core[-1:].isalnum() and not self.special.search(chunk):
+            before = self.known[core[1:]] if core[:1] == " " and not core[1:2].isspace() else self.raw[core]
+            return before + self.raw[chunk[len(core) :]]
+        return self._encode(chunk) if chunk else b""
+
+    def _piece(self, piece: str) -> bytes:
+        return self._chunk(piece if piece[:1] == "\n" else " " + piece)
+
+    def _text(self, text: str) -> bytes:
+        if OTHER_SPACE.search(text) or self.special.search(text):
+            return self._encode(text)
+        if any(gap in text for gap in GAPS):
+            return b"".join(map(self.raw.__getitem__, CHUNK.findall(text)))
+        first, *rest = text.replace("\n", " \n").split(" ")
+        return self.raw[first] + b"".join(map(self.known.__getitem__, rest))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
-        chunks = [None if OTHER_SPACE.search(t) else CHUNK.findall(t) for t in texts]
-        self._learn(chunks)
-        look_up = self.known.__getitem__
-        return [self._encode([t])[0] if c is None else b"".join(map(look_up, c)) for t, c in zip(texts, chunks)]
+        return [self._text(t) if t else b"" for t in texts]
 
 
 @lru_cache(maxsize=1)
