@@ -19,7 +19,7 @@ from tidemark.sinks import keyed, ledger, records, schemas, tables
 from tidemark.sinks.ledger import Settings
 from tidemark.sources import pages
 from tidemark.sources.reads import read_table
-from tidemark.streaming.incremental import append_available, landed_stream, with_day
+from tidemark.streaming.incremental import append_available, ingest_available, landed_lines, landed_stream, with_day
 
 RUN = datetime(2024, 2, 1, 1, 0)
 
@@ -132,6 +132,23 @@ def test_stream_repair_stream(spark, tmp_path, rows):
     assert ledger.read(spark, lake).count() == 4
 
 
+def test_landed_text_to_table_by_micro_batches(spark, tmp_path, rows):
+    drop, lake, checkpoint, registry = (tmp_path / "drop", *(str(tmp_path / n) for n in ("lake", "checkpoint", "leaves")))
+    drop.mkdir()
+    types = TableCatalog({"id": "int", "at": "timestamp", "in_x": "double"})
+
+    def run(name, *documents):
+        (drop / name).write_text("".join(json.dumps(d) + "\n" for d in documents) + "\n")
+        ingest_available(landed_lines(spark, str(drop), max_files=1), lake, checkpoint, registry, RUN, cdc_field="at", catalog=types)
+
+    run("a.jsonl", {"id": 1, "at": "2024-01-05T01:00:00Z", "in": {"x": 1.5}, "e": []}, {"id": 2, "at": "2024-01-06T01:00:00Z"})
+    run("b.jsonl", {"id": 3, "at": "2024-01-06T02:00:00Z", "in": {"x": 2, "y": "new"}})
+    run("c.jsonl")
+    got = read_table(spark, lake)
+    assert rows(got, "id", "in_x", "in_y", "date") == [(1, 1.5, None, "20240105"), (2, 0.0, None, "20240106"), (3, 2.0, "new", "20240106")]
+    assert ledger.bookmark(spark, lake) == "2024-01-06T02:00:00.000000+00:00"
+
+
 def test_the_schema_log_knows_columns_of_later_files_only(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     amount = [(1, Decimal("1.50"), "20240101")]

@@ -135,6 +135,8 @@ def installment_table(flat: DataFrame, catalog: TableCatalog | None = None) -> D
     return parse_catalogued(snake_case(flat, snake_letters), catalog.types)
 
 
-def product_configurations(documents: DataFrame, document: str = "document", run_ts: datetime | None = None) -> DataFrame:
+def product_configurations(
+    documents: DataFrame, document: str = "document", run_ts: datetime | None = None, leaves: list[Leaf] | None = None
+) -> DataFrame:
     """One flat, snake-cased row per product of the configuration documents."""
-    return snake_case(records_of(documents, document, "loanProducts", run_ts=run_ts), snake_letters)
+    return snake_case(records_of(documents, document, "loanProducts", run_ts=run_ts, leaves=leaves), snake_letters)

@@ -109,13 +109,8 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 def installments() -> TableCatalog:
     """Loan installments: four components, each with an amount and a tax in three measures."""
-    measures = {
-        f"{part}_{kind}_{measure}": "double"
-        for part in ("principal", "interest", "fee", "penalty")
-        for kind in (("amount",) if part == "principal" else ("amount", "tax"))
-        for measure in ("expected", "paid", "due")
-    }
     return TableCatalog(
+        # Columns and types of the table in use.
         {
             "encoded_key": "string",
             "loan_account_id": "string",
@@ -124,7 +119,27 @@ def installments() -> TableCatalog:
             "due_date": "timestamp",
             "state": "string",
             "is_payment_holiday": "boolean",
-            **measures,
+            "principal_amount_expected": "double",
+            "principal_amount_paid": "double",
+            "principal_amount_due": "double",
+            "interest_amount_expected": "double",
+            "interest_amount_paid": "double",
+            "interest_amount_due": "double",
+            "interest_tax_expected": "double",
+            "interest_tax_paid": "double",
+            "interest_tax_due": "double",
+            "fee_amount_expected": "double",
+            "fee_amount_paid": "double",
+            "fee_amount_due": "double",
+            "fee_tax_expected": "double",
+            "fee_tax_paid": "double",
+            "fee_tax_due": "double",
+            "penalty_amount_expected": "double",
+            "penalty_amount_paid": "double",
+            "penalty_amount_due": "double",
+            "penalty_tax_expected": "double",
+            "penalty_tax_paid": "double",
+            "penalty_tax_due": "double",
             "custom_fields": "string",
             "last_paid_date": "timestamp",
             "repaid_date": "timestamp",

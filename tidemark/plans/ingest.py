@@ -13,6 +13,7 @@ from tidemark.functions.naming import rename_in_order, snake_case, snake_words
 from tidemark.functions.text import clean_json
 from tidemark.operators.bookmarks import high_water_mark
 from tidemark.operators.chunks import read_time
+from tidemark.operators.digests import compare_days
 from tidemark.operators.diff import BOTH, SOURCE_ONLY, TARGET_ONLY, compare_keys, keys_found
 from tidemark.operators.flatten import Leaf, flatten
 from tidemark.operators.shape import NESTED, add_meta, leftovers_as_text
@@ -229,19 +230,27 @@ def three_way_backfill(
     *,
     apply: bool = False,
     reports: str | None = None,
+    day: str | None = None,
+    target_day: str | None = None,
 ) -> Backfill:
     """Compare keys as text, report both differences, and append what the lake lacks.
 
-    `apply=False` is a dry run.  `reports` is a folder for the difference reports.
+    `apply=False` is a dry run.  `reports` is a folder for the difference reports.  With `day`
+    (and `target_day`, where the lake calls it otherwise) only days and buckets of
+    keys whose digests differ are compared key by key (see `compare_days`).
     """
     spark = source.sparkSession
     # Only the key is read, which every file has: no need to merge file schemas.
-    texts = distinct_keys(read_table(spark, target, merge=False), key).withColumn(key, F.col(key).cast("string"))
+    stored = read_table(spark, target, merge=False)
+    texts = stored.withColumn(key, F.col(key).cast("string"))
+    texts = texts.select(key, target_day or day) if day else distinct_keys(texts, key)
     rows = source.withColumn(key, F.col(key).cast("string"))
-    # Staged once: four results are taken from it.
-    compared = stage(compare_keys(rows, texts, [key]), "compared")
+    # Staged once: four results are taken from it.  With a day to go by, digests say where keys need to be compared.
+    compared = stage(compare_days(rows, texts, [key], day, target_day) if day else compare_keys(rows, texts, [key]), "compared")
     missing, extra = keys_found(compared, SOURCE_ONLY), keys_found(compared, TARGET_ONLY)
+    # What is appended keeps the source's own type of the key.
     to_backfill = restrict_to_keys(rows, missing, [key], null_safe=True)
+    to_backfill = to_backfill.withColumn(key, F.col(key).cast(source.schema[key].dataType))
     if reports:
         tables.write_report(missing, f"{reports}/not_in_data_lake")
         tables.write_report(extra, f"{reports}/not_in_source")

@@ -15,7 +15,7 @@ from tidemark.operators.chunks import FATAL, backfill, landed_by_chunk, parse_ra
 from tidemark.operators.customfields import NO_VALUE, any_slot_in, channel_custom_fields, pivot_custom_fields
 from tidemark.operators.diff import compare_keys
 from tidemark.operators.documents import installment_table, installments_for, installments_known, product_configurations
-from tidemark.operators.flatten import flatten
+from tidemark.operators.flatten import Leaf, flatten
 from tidemark.operators.reconcile import ReconSpec, check_counts, partial_figures, reconcile, reconcile_parts, result_catalog, target_has_day
 from tidemark.operators.repair import late_rows, repair_and_reconcile
 from tidemark.operators.shape import add_meta, run_time
@@ -211,9 +211,9 @@ def refresh_installments(
     return rejects
 
 
-def refresh_products(documents: DataFrame, target: str, run_ts: datetime, catalog: TableCatalog | None = None) -> None:
-    """Replace the product-configuration table."""
-    products = product_configurations(documents, run_ts=run_ts)
+def refresh_products(documents: DataFrame, target: str, run_ts: datetime, catalog: TableCatalog | None = None, leaves: list[Leaf] | None = None) -> None:
+    """Replace the product-configuration table; `leaves` are its paths where they are settled."""
+    products = product_configurations(documents, run_ts=run_ts, leaves=leaves)
     types = (catalog or from_names(products.columns)).types
     tables.overwrite_table(parse_catalogued(products, types), target)
 

@@ -36,7 +36,7 @@ from tidemark.sinks.tables import append
 from tidemark.sources.landed import select_objects
 from tidemark.sources.pages import page_slice
 from tidemark.sources.reads import read_table
-from tidemark.streaming.incremental import append_available, landed_stream, with_day
+from tidemark.streaming.incremental import append_available, ingest_available, landed_lines, landed_stream, with_day
 
 RUN_TS = datetime(2024, 2, 1, 1, 0)
 ACCOUNTS, AMOUNTS = SPECS["deposit_accounts"], SPECS["deposit_transactions"]
@@ -72,6 +72,35 @@ def incremental_then_repair(spark, sf_dir):
     )
 
 
+@query(
+    "ingest_available_records",
+    """
+SELECT strftime(ts, '%Y%m%d') AS date, COUNT(*) AS n, COUNT(DISTINCT event_id) AS keys, COUNT(*) FILTER (event_type = 'error') AS tagged,
+       CAST(SUM(CAST(value AS DECIMAL(20,2))) AS DECIMAL(20,2)) AS total FROM events GROUP BY 1
+""",
+)
+def ingest_available_records(spark, sf_dir):
+    """Landed JSON text to a typed table in two runs and an idle one; the second drop brings paths the first has not."""
+    root = new_path(spark, "records-stream")
+    drop, lake, checkpoint, registry = (f"{root}/{n}" for n in ("landed", "lake", "checkpoint", "leaves"))
+    record = F.struct(
+        F.col("event_id").alias("eventId"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("creationDate"),
+        F.struct(F.col("value").alias("amount")).alias("detail"),
+        F.when(F.col("event_type") == "error", F.array(F.struct(F.col("event_type").alias("name")))).alias("tags"),
+    )
+    types = TableCatalog({"event_id": "bigint", "creation_date": "timestamp", "detail_amount": "double", "tags_0_name": "string"})
+    for part in ("event_type <> 'error'", "event_type = 'error'", "false"):
+        events(spark, sf_dir).filter(part).select(F.to_json(record).alias("value")).write.mode("append").text(drop)
+        ingest_available(landed_lines(spark, drop), lake, checkpoint, registry, RUN_TS, cdc_field="creationDate", catalog=types)
+    return read_table(spark, lake).groupBy("date").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("event_id").alias("keys"),
+        F.count("tags_0_name").alias("tagged"),
+        F.sum(F.col("detail_amount").cast("decimal(20,2)")).cast("decimal(20,2)").alias("total"),
+    )
+
+
 @query(
     "append_typed_roundtrip",
     """

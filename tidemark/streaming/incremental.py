@@ -7,14 +7,20 @@ commits their rows and stops, so it can be scheduled like a batch job.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.naming import snake_words
 from tidemark.functions.timestamps import day_text
+from tidemark.operators.leaves import flatten_known
+from tidemark.plans.catalog import TableCatalog
+from tidemark.plans.ingest import process_records
+from tidemark.plans.staging import new_path, release, stage
 from tidemark.sinks.ledger import Settings, commit, create
 
 
@@ -35,6 +41,63 @@ def with_day(df: DataFrame, cdc_field: str) -> DataFrame:
     return df.withColumn("date", day_text(F.col(cdc_field)))
 
 
+def landed_lines(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str | None = None) -> DataFrame:
+    """The lines of a folder's files as a stream of one text column `record`, whatever is in them."""
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.text(folder).filter(F.length(F.btrim("value")) > 0).select(F.col("value").alias("record"))
+
+
+def ingest_available(
+    lines: DataFrame,
+    target: str,
+    checkpoint: str,
+    registry: str,
+    run_ts: datetime,
+    *,
+    cdc_field: str = "",
+    renames: tuple[Mapping[str, str], ...] = (),
+    catalog: TableCatalog | None = None,
+    empty_as: str | None = "",
+    writer: str | None = None,
+    settings: Settings | None = None,
+) -> StreamingQuery:
+    """Flatten, shape and append the records that have landed since the last run; then stop.
+
+    The whole path from landed text to the table, a micro-batch at a time: leaf paths are those
+    `registry` knows, and records that differ extend it; names, types and meta columns are as in
+    `process_records`; the batch takes the types of the table's earlier commits and is
+    committed once.  `lines` has a text column `record`.  With `catalog=None` types
+    are inferred from the batch, and must fit those of the table.
+    """
+    spark = lines.sparkSession
+    name = writer or writer_of(checkpoint)
+    create(spark, target, settings or Settings(change=snake_words(cdc_field) or None))
+
+    def take(batch: DataFrame, number: int) -> None:
+        path = new_path(spark, "records")
+        try:
+            flat = flatten_known(batch, "record", registry, empty_as=empty_as)
+            rows = stage(flat, path=path)
+            if not rows.isEmpty():
+                shaped, _ = process_records(rows, run_ts, cdc_field=cdc_field, renames=renames, catalog=catalog)
+                commit(shaped, target, name, number)
+        finally:
+            release(spark, path)
+
+    query = lines.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def writer_of(checkpoint: str) -> str:
+    """The name in a table's commits of the stream with a checkpoint."""
+    return f"stream-{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+
+
 def append_available(
     stream: DataFrame,
     target: str,
@@ -52,7 +115,7 @@ def append_available(
     default it follows from the checkpoint's path.
     """
     spark = stream.sparkSession
-    name = writer or f"stream-{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+    name = writer or writer_of(checkpoint)
     known = create(spark, target, settings or Settings(partition_by))
     if known.settings.partition_by != tuple(partition_by):
         raise ValueError(f"{target} is partitioned by {known.settings.partition_by}")
