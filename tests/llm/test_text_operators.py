@@ -235,3 +235,25 @@ def test_budgets_with_very_long_texts():
     taken = mix.subset(np.array([1, 3, 50_000_000]), np.array([500, 500, 7]), 160_000_000)
     assert taken.tolist() == [500, 500, 3] and time.process_time() - begin < 5
     assert mix.subset(np.array([40_000_000, 50_000_000]), np.array([1, 1]), 48_000_000).tolist() in ([0, 1], [1, 0])
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    """Extra columns named like the helpers of the stages reach the last but one untouched, and decide nothing."""
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline
+
+    names = "_id _copies _mark _copy _digest _norm _text_mark entropy lang_pred rejected score text_mark _said _others _key_0 _of n_chars a.b".split()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").drop("n_chars")
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")))
+    wide = docs.withColumns({n: F.concat(F.lit(n), F.coalesce(F.col("source"), F.lit("-"))) for n in names})
+    quoted = {n: F.col(f"`{n}`") for n in names}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, carried = stage(spark, docs, ""), stage(spark, wide, "")
+        assert carried.columns == wide.columns, name
+        wrong = [~quoted[n].eqNullSafe(F.concat(F.lit(n), F.coalesce(F.col("source"), F.lit("-")))) for n in names]
+        assert carried.filter(F.greatest(*(w.cast("int") for w in wrong)) > 0).isEmpty(), name
+        ids = lambda df: sorted((r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect())
+        assert ids(plain) == ids(carried), name
+        assert stage(spark, wide.limit(0), "").isEmpty(), name
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, "").count() == corpus_pipeline.STAGES[-1][1](spark, docs, "").count()

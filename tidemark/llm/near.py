@@ -282,8 +282,11 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings, more: DataFrame
     rows branch on by their next minwise token.  In a compared node these few meet
     all others, in pieces of fixed size; rows of one component need not meet.  At
     the last level every node left is compared, the rows outside its largest
-    component in several lots.  Rows whose node has one component leave the tree,
-    so that a level handles only what the one above left over.  The levels only say
+    component in several lots.  Rows whose first node has one component have nobody to meet.
+
+    The nodes of all levels are counted at once, by (node, component), so a large group is one
+    count a node.  Fewer rows lie outside the largest component the deeper a node is: the
+    nodes to compare are those that may be while their parent may not.  Levels only say
     who meets whom, by 64-bit hashes of classes and components; what pairs are
     weighed by is joined to that once, for all of them.
     """
@@ -293,33 +296,40 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings, more: DataFrame
         owned, columns = owned.join(more, "cls"), [*columns, "lost", "path_high", "path_low"]
     owned = staged(owned.select(*columns), "near-owned")
     chosen = owned if more is None else owned.select("id", "component", F.col("path_high").alias("high"), F.col("path_low").alias("low"))
-    rows, met, deeper = paths(chosen, s), None, None
-    for level in range(s.first_level, s.levels + 1):
-        ends = rows.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        rows = staged(rows.join(ends.filter("least < most").select("node"), "node", "left_semi"), "near-paths")
-        shares = rows.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
-        sizes = shares.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"))
-        sizes = staged(sizes.select("node", "all", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("rest")), "near-nodes")
-        last = level == s.levels
-        meeting = staged(_meeting(rows, sizes if last else sizes.filter(F.col("rest") <= s.small), s), "near-meeting")
-        met = meeting if met is None else met.union(meeting)
-        deep = sizes.filter(F.col("rest") > s.small)
-        if last or deep.isEmpty():
-            break
-        branch = F.xxhash64("node", F.substring("left", 1, 2)).alias("node")
-        rows = rows.join(deep.select("node"), "node", "left_semi").select("id", "component", branch, F.expr("substring(left, 3)").alias("left"))
-        rows = staged(rows, "near-paths")
-        gone = rows.groupBy("id").agg((F.count(F.lit(1)) * (s.log_miss(level + 1) - s.log_miss(level))).alias("by"))
-        deeper = gone if deeper is None else deeper.union(gone)
-    pairs = staged(_compared(met, owned, s).distinct(), "near-pairs")
-    if deeper is None:
-        return pairs, nodes.select("cls", F.lit(0.0).alias("lost")).limit(0)
+    rows = paths(chosen, s)
+    ends = rows.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    rows = staged(rows.join(ends.filter("least < most").select("node"), "node", "left_semi"), "near-paths")
+    steps = _steps(rows, s)
+    shares = steps.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"), F.any_value("level").alias("level"), F.any_value("above").alias("above"))
+    sizes = shares.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"), F.any_value("level").alias("level"), F.any_value("above").alias("above"))
+    sizes = sizes.select("node", "level", "above", "all", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("rest"))
+    sizes = staged(sizes.filter("rest > 0"), "near-nodes")
+    branches = (F.col("rest") > s.small) & (F.col("level") < s.levels)
+    deep = sizes.filter(branches)
+    ready = sizes.filter(~branches)
+    below = ready.join(deep.select(F.col("node").alias("above")), "above", "left_semi").select(ready.columns)
+    ready = staged(ready.filter(F.col("level") == s.first_level).unionByName(below), "near-ready")
+    meeting = _meeting(steps.select("id", "component", "node"), ready.drop("level", "above"), s)
+    pairs = staged(_compared(meeting, owned, s).distinct(), "near-pairs")
+    further = F.element_at(F.array(*(F.lit(s.log_miss(level + 1) - s.log_miss(level)) for level in range(s.first_level, s.levels))), F.col("level") - s.first_level + 1)
+    gone = steps.select("id", "node").join(deep.select("node", further.alias("by")), "node").groupBy("id").agg(F.sum("by").alias("by"))
     before = F.lit(0.0) if more is None else F.col("lost")
     lost = (before + s.trees * s.log_miss(s.first_level) + F.col("by")).alias("lost")
-    owing = owned.join(deeper.groupBy("id").agg(F.sum("by").alias("by")), "id").select("cls", lost).filter(F.col("lost") > math.log(s.miss))
+    owing = owned.join(gone, "id").select("cls", lost).filter(F.col("lost") > math.log(s.miss))
     return pairs, staged(owing, "near-owing")
 
 
+def _steps(rows: DataFrame, s: Settings) -> DataFrame:
+    """id, component, level, node, above (the node's parent): the nodes of each path, from the first level on."""
+    chain = rows.withColumn(f"_{s.first_level}", F.col("node"))
+    for level in range(s.first_level + 1, s.levels + 1):
+        token = F.substring("left", 2 * (level - s.first_level) - 1, 2)
+        chain = chain.withColumn(f"_{level}", F.xxhash64(f"_{level - 1}", token))
+    levels = range(s.first_level, s.levels + 1)
+    steps = F.array(*(F.struct(F.lit(level).alias("level"), F.col(f"_{level}").alias("node"), F.col(f"_{max(level - 1, s.first_level)}").alias("above")) for level in levels))
+    return chain.select("id", "component", F.inline(steps))
+
+
 def _meeting(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
     """node, piece, lot, id, asks: in each of a node's pieces and lots, the rows that ask are compared with the others."""
     piece, lot = 1024, s.small
