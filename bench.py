@@ -20,7 +20,8 @@ HEADLINE = (
     "infer_types process_records_catalogued process_records_inferred explode_installments error_split "
     "any_slot_filter custom_field_pivot channel_custom_fields overlay_coalesce slot_group_minmax "
     "cdc_range page_set row_pages chunk_counts chunk_summary bookmark_advance ingest_event "
-    "partition_overwrite_roundtrip append_evolve_roundtrip incremental_available_now"
+    "partition_overwrite_roundtrip append_evolve_roundtrip incremental_available_now "
+    "page_slice page_slice_deep recon_parts_amounts digest_compare incremental_then_repair backfill_ingest_chunks refresh_installments_job"
 ).split()
 
 

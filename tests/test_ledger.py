@@ -13,8 +13,10 @@ from tidemark.operators.diff import compare_keys
 from tidemark.operators.digests import compare_days, differences
 from tidemark.operators.documents import installments_for, installments_known
 from tidemark.operators.reconcile import SPECS, partial_figures, reconcile, reconcile_parts
+from tidemark.plans import ingest as ingest_module
 from tidemark.plans import jobs
 from tidemark.plans.catalog import TableCatalog
+from tidemark.plans.ingest import parse_event
 from tidemark.sinks import keyed, ledger, records, schemas, tables
 from tidemark.sinks.ledger import Settings
 from tidemark.sources import pages
@@ -228,6 +230,35 @@ def test_figures_of_half_written_batches_do_not_count(spark, tmp_path, rows, mon
     assert rows(merged, "target_total_rowcount_for_date", "target_total_deposit_accounts_for_date") == [(5, 3)]
 
 
+def test_folded_facts_are_the_facts(spark, tmp_path, rows, monkeypatch):
+    path, day = str(tmp_path / "lake"), date(2024, 1, 31)
+    for spec in (SPECS["deposit_accounts"], SPECS["deposit_transactions"]):
+        path = str(tmp_path / spec.stream)
+        ledger.create(spark, path, Settings(day="creation_date", stream=spec.stream))
+        for n, ids in enumerate(([1, 1, 2], [2, 3], [9])):
+            ledger.commit(dated(transactions(spark, ids), f"2024020{n}"), path, "s", n)
+        before = rows(ledger.figures(spark, path).groupBy("day").agg(F.sum("n"))), ledger.day_partitions(spark, path, day)
+        merged = rows(reconcile_parts(spec, ledger.figures(spark, path), ledger.figures(spark, path)))
+        ledger.fold(spark, path)
+        assert (rows(ledger.figures(spark, path).groupBy("day").agg(F.sum("n"))), ledger.day_partitions(spark, path, day)) == before
+        assert rows(reconcile_parts(spec, ledger.figures(spark, path), ledger.figures(spark, path))) == merged
+        # A batch that is on its way while the facts are folded brings its own along.
+        keep = ledger._keep_facts
+
+        def late(*args):
+            done = keep(*args)
+            monkeypatch.setattr(ledger, "_keep_facts", keep)
+            ledger.fold(spark, path)
+            return done
+
+        monkeypatch.setattr(ledger, "_keep_facts", late)
+        ledger.commit(dated(transactions(spark, [5, 6]), "20240209"), path, "s", 3)
+        assert ledger.figures(spark, path).agg(F.sum("n")).first()[0] == 8
+        assert ledger.day_partitions(spark, path, day) == [*before[1], "20240209"]
+        assert sorted(n for n in records.names(spark, path) if n.startswith("_days")) == ["_days-1", "_days-2"]
+        assert ledger.commit(dated(transactions(spark, [5, 6]), "20240209"), path, "s", 3) is None
+
+
 CATALOG = TableCatalog({"encoded_key": "string", "creation_date": "timestamp"})
 EVENT = {"table_name": "clients", "endpoint": "clients:search", "request_type": "post", "cdc_field": "creationDate", "end_date": "2024-02-01 00:00:00"}
 
@@ -251,6 +282,18 @@ def test_the_next_ingest_starts_at_the_last_commit_without_reading_the_lake(spar
     assert ledger.bookmark(spark, path) == "2024-01-02T06:00:00.000000+00:00"
 
 
+def test_a_range_of_iso_text_reaches_the_scan(spark, tmp_path, monkeypatch):
+    folder, seen = str(tmp_path / "landed"), []
+    rows = [("k1", "2023-12-01T00:00:00Z"), ("k2", "2024-01-10T23:00:00-05:00"), ("k3", "2024-01-11T02:00:00Z"), ("k4", "2024-03-01T00:00:00Z")]
+    spark.createDataFrame(rows, "encodedKey string, creationDate string").write.parquet(folder)
+    event = parse_event({**EVENT, "start_date": "2024-01-11 03:00:00", "end_date": "2024-01-12 00:00:00"}, RUN)
+    read = ingest_module.read_stream
+    monkeypatch.setattr(ingest_module, "read_stream", lambda df, *a, **o: seen.append(plan_of(df)) or read(df, *a, **o))
+    for iso_text in (False, True):
+        assert ingest_module.ingest(spark, event, spark.read.parquet(folder), str(tmp_path / f"t{iso_text}"), RUN, CATALOG, iso_text=iso_text).first().records_count == 1
+    assert "GreaterThanOrEqual(creationDate,2024-01-09)" not in seen[0] and "GreaterThanOrEqual(creationDate,2024-01-09)" in seen[1]
+
+
 def test_two_ingests_at_once_do_not_append_the_same_range(spark, tmp_path, monkeypatch):
     path, first = str(tmp_path / "lake"), {**EVENT, "start_date": "2023-01-01 00:00:00"}
     jobs.ingest_next(spark, first, landed(spark, 1), path, RUN, CATALOG)

@@ -164,14 +164,19 @@ def partial_figures(spec: ReconSpec, rows: DataFrame, side: str = "target") -> D
     return _amount_groups(dated, day) if spec.by_amount else _key_counts(dated, day, spec.key)
 
 
-def merged_figures(spec: ReconSpec, parts: DataFrame) -> DataFrame:
-    """The daily figures of all batches whose parts are given, as if their rows were counted together."""
+def merged_parts(spec: ReconSpec, parts: DataFrame) -> DataFrame:
+    """The parts of several batches as those of one."""
     if not spec.by_amount:
-        return _day_counts(parts.groupBy("day", "key").agg(F.sum("n").alias("n")))
-    total = parts.groupBy("day", "currency_code", "type").agg(
+        return parts.groupBy("day", "key").agg(F.sum("n").alias("n"))
+    return parts.groupBy("day", "currency_code", "type").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.sum("amount").cast(MONEY).alias("amount")
     )
-    return _day_amounts(total)
+
+
+def merged_figures(spec: ReconSpec, parts: DataFrame) -> DataFrame:
+    """The daily figures of all batches whose parts are given, as if their rows were counted together."""
+    whole = merged_parts(spec, parts)
+    return _day_amounts(whole) if spec.by_amount else _day_counts(whole)
 
 
 def _prefixed(df: DataFrame, side: str, grain: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.naming import rename_in_order, snake_case, snake_words
 from tidemark.functions.text import clean_json
@@ -22,7 +23,7 @@ from tidemark.plans.catalog import TableCatalog
 from tidemark.plans.staging import new_path, release, restrict_to_keys, stage
 from tidemark.sinks import tables
 from tidemark.sources.landed import select_objects
-from tidemark.sources.reads import distinct_keys, read_stream, read_table
+from tidemark.sources.reads import distinct_keys, read_stream, read_table, whole_days
 
 SUMMARY_SCHEMA = (
     "table_name string, endpoint string, cdc_field string, start_date string, end_date string, records_count bigint"
@@ -153,13 +154,18 @@ def ingest(
     run_ts: datetime,
     catalog: TableCatalog | None = None,
     write: Callable[[DataFrame], object] | None = None,
+    iso_text: bool = False,
 ) -> DataFrame:
     """Read what the event asks for from the landed records, process it and append it.
 
     `landed` has the source's own (camelCase) columns.  An empty read writes nothing.
     `write` takes the processed rows; by default they are appended to `target`.
+    `iso_text` says that a change field of text starts with yyyy-MM-dd: then a range of whole
+    days around the one asked for reaches the scan, and only its rows are parsed.
     Returns one summary row.
     """
+    if iso_text and event.cdc_field and event.start_date and isinstance(landed.schema[event.cdc_field].dataType, T.StringType):
+        landed = landed.filter(whole_days(event.cdc_field, event.start_date, event.end_date))
     wanted = read_stream(
         with_change_time(landed, run_ts, event.cdc_field),
         event.endpoint,

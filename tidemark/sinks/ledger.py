@@ -3,7 +3,7 @@
     <table>/date=20240101/_batch=<writer>.<number>/part-…   rows, as any reader sees them
     <table>/_commits/<number>.json                          what has been committed
     <table>/_begun/<batch>                                  batches that are being written
-    <table>/_days/_batch=…, <table>/_figures/_batch=…       facts about each batch
+    <table>/_days-0/_batch=…, <table>/_figures-0/_batch=…   facts about each batch
 
 A batch is written into partitions of its own, by dynamic overwrite, so writing it again
 replaces it.  Its commit record then takes the next number, which only one writer
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timestamps import calendar_day, parse_timestamp_column
-from tidemark.operators.reconcile import SPECS, partial_figures
+from tidemark.operators.reconcile import SPECS, merged_parts, partial_figures
 from tidemark.sinks import records
 from tidemark.sinks.schemas import check_same, fitted, merged
 
@@ -62,6 +62,7 @@ class State:
     writers: dict[str, int]
     batch: str | None = None
     rows: int = 0
+    facts: int = 0
 
 
 def _at(path: str) -> str:
@@ -79,12 +80,12 @@ def state(spark: SparkSession, path: str) -> State | None:
         return None
     settings = Settings(**{**record["settings"], "partition_by": tuple(record["settings"]["partition_by"])})
     schema = T.StructType.fromJson(record["schema"]) if record["schema"] else None
-    return State(number, settings, schema, record["bookmark"], record["writers"], record["batch"], record["rows"])
+    return State(number, settings, schema, record["bookmark"], record["writers"], record["batch"], record["rows"], record["facts"])
 
 
 def _record(s: State) -> dict:
     schema = s.schema.jsonValue() if s.schema is not None else None
-    return {"settings": asdict(s.settings), "schema": schema, "bookmark": s.bookmark, "writers": s.writers, "batch": s.batch, "rows": s.rows}
+    return {"settings": asdict(s.settings), "schema": schema, "bookmark": s.bookmark, "writers": s.writers, "batch": s.batch, "rows": s.rows, "facts": s.facts}
 
 
 def create(spark: SparkSession, path: str, settings: Settings | None = None) -> State:
@@ -119,7 +120,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    rows = spark.read.option("mergeSchema", "false").parquet(f"{_at(path)}/_{kind}")
+    rows = spark.read.option("mergeSchema", "false").parquet(f"{_at(path)}/_{kind}-{state(spark, path).facts}")
     return _committed(rows, spark, path)
 
 
@@ -159,7 +160,7 @@ def _write(rows: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def _keep_facts(spark: SparkSession, path: str, batch: str, settings: Settings, schema: T.StructType) -> tuple[int, str | None]:
+def _keep_facts(spark: SparkSession, path: str, batch: str, settings: Settings, schema: T.StructType, facts: int) -> tuple[int, str | None]:
     """(rows, latest change) of one batch; its days and figures are kept.  All from the files just written, and no others.
 
     What a task that was run again would count twice while writing is counted once here.
@@ -173,10 +174,10 @@ def _keep_facts(spark: SparkSession, path: str, batch: str, settings: Settings,
     count, mark = rows.agg(F.count(F.lit(1)), F.date_format(latest, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")).first()
     if settings.day and settings.day in rows.columns:
         days = rows.groupBy(F.col(settings.partition_by[0]).alias("partition"), calendar_day(rows, settings.day).alias("day")).agg(F.count(F.lit(1)).alias("n"))
-        _write(days.withColumn(BATCH, F.lit(batch)), f"{_at(path)}/_days", (BATCH,))
+        _write(days.withColumn(BATCH, F.lit(batch)), f"{_at(path)}/_days-{facts}", (BATCH,))
     if settings.stream:
         parts = partial_figures(SPECS[settings.stream], rows)
-        _write(parts.withColumn(BATCH, F.lit(batch)), f"{_at(path)}/_figures", (BATCH,))
+        _write(parts.withColumn(BATCH, F.lit(batch)), f"{_at(path)}/_figures-{facts}", (BATCH,))
     return count, mark
 
 
@@ -209,14 +210,19 @@ def commit(
         records.delete(spark, f"{_at(path)}/{depth}/{BATCH}={batch}")
     records.mark(spark, begun)
     _write(rows.withColumn(BATCH, F.lit(batch)).hint("rebalance", *partition_by), path, (*partition_by, BATCH))
-    count, mark = _keep_facts(spark, path, batch, known.settings, schema)
+    facts, written = known.facts, schema
+    count, mark = _keep_facts(spark, path, batch, known.settings, written, facts)
     schema = schema if count else known.schema
     while True:
         now = state(spark, path)
+        if now.facts != facts:
+            # They were folded meanwhile: this batch's belong to the new ones.
+            facts = now.facts
+            _keep_facts(spark, path, batch, known.settings, written, facts)
         if after is not None and now.number != after:
             records.delete(spark, f"{_at(path)}/{depth}/{BATCH}={batch}")
             for kind in ("days", "figures"):
-                records.delete(spark, f"{_at(path)}/_{kind}/{BATCH}={batch}")
+                records.delete(spark, f"{_at(path)}/_{kind}-*/{BATCH}={batch}")
             records.delete(spark, begun)
             raise Behind(f"{path} is at commit {now.number}, not {after}")
         if now.schema is not None and schema is not None:
@@ -224,7 +230,7 @@ def commit(
             schema = merged(now.schema, schema, partition_by)
         marks = [m for m in (now.bookmark, mark) if m]
         writers = {**now.writers, writer: number} if writer is not None else now.writers
-        record = State(0, known.settings, schema or now.schema, max(marks, default=None), writers, batch, count)
+        record = State(0, known.settings, schema or now.schema, max(marks, default=None), writers, batch, count, facts)
         if records.put(spark, f"{_at(path)}/_commits", now.number + 1, _record(record)):
             break
     records.delete(spark, begun)
@@ -234,6 +240,29 @@ def commit(
     return count
 
 
+def fold(spark: SparkSession, path: str) -> None:
+    """Merge the facts of all committed batches, which are small files each, into few; to be run now and then.
+
+    The folded facts are a version of their own, which counts from one commit record on; a commit that
+    comes in between has the fold start again, and batches that are being written add their facts to
+    the new version.  The version before stays for readers that have opened it, older ones go.
+    """
+    while True:
+        s = state(spark, path)
+        version = s.facts + 1
+        if s.schema is not None and s.settings.day:
+            days = _facts(spark, path, "days").groupBy("partition", "day").agg(F.sum("n").alias("n"))
+            _write(days.withColumn(BATCH, F.lit("fold")).repartitionByRange("day"), f"{_at(path)}/_days-{version}", (BATCH,))
+        if s.schema is not None and s.settings.stream:
+            parts = merged_parts(SPECS[s.settings.stream], _facts(spark, path, "figures"))
+            # In order of the day, which is what they are asked for by.
+            _write(parts.withColumn(BATCH, F.lit("fold")).repartitionByRange("day").sortWithinPartitions("day"), f"{_at(path)}/_figures-{version}", (BATCH,))
+        if records.put(spark, f"{_at(path)}/_commits", s.number + 1, _record(replace(s, facts=version))):
+            break
+    for kind in ("days", "figures"):
+        records.delete(spark, f"{_at(path)}/_{kind}-{version - 2}")
+
+
 def bookmark(spark: SparkSession, path: str) -> str | None:
     """The latest change of all committed rows, from the latest commit alone."""
     s = state(spark, path)

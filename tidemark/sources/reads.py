@@ -59,6 +59,12 @@ def bound(df: DataFrame, name: str, value: datetime | str) -> Column:
     return F.lit(text).cast(df.schema[name].dataType)
 
 
+def whole_days(cdc: str, start: datetime | str, end: datetime | str) -> Column:
+    """ISO text of the days around a range, wide enough for any offset, as a comparison of the stored text."""
+    first, last = (datetime.fromisoformat(v) if isinstance(v, str) else v for v in (start, end))
+    return (F.col(cdc) >= (first.date() - timedelta(days=2)).isoformat()) & (F.col(cdc) < (last.date() + timedelta(days=3)).isoformat())
+
+
 def cdc_range(
     df: DataFrame,
     cdc: str,
@@ -82,9 +88,7 @@ def cdc_range(
         at = try_parse_timestamp(F.col(cdc))
         low, high = (F.lit(v if isinstance(v, str) else v.isoformat(" ")).cast("timestamp") for v in (start, end))
         if iso_text:
-            first, last = (datetime.fromisoformat(v) if isinstance(v, str) else v for v in (start, end))
-            days = (first.date() - timedelta(days=2)).isoformat(), (last.date() + timedelta(days=3)).isoformat()
-            df = df.filter((F.col(cdc) >= days[0]) & (F.col(cdc) < days[1]))
+            df = df.filter(whole_days(cdc, start, end))
     inside = (at >= low) & ((at < high) if half_open else (at <= high))
     rows = df.filter(inside)
     return rows.orderBy(at) if ordered else rows

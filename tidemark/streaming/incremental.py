@@ -20,7 +20,6 @@ from tidemark.functions.timestamps import day_text
 from tidemark.operators.leaves import flatten_known
 from tidemark.plans.catalog import TableCatalog
 from tidemark.plans.ingest import process_records
-from tidemark.plans.staging import new_path, release, stage
 from tidemark.sinks.ledger import Settings, commit, create
 
 
@@ -78,15 +77,11 @@ def ingest_available(
     create(spark, target, settings or Settings(change=snake_words(cdc_field) or None))
 
     def take(batch: DataFrame, number: int) -> None:
-        path = new_path(spark, "records")
-        try:
-            flat = flatten_known(batch, "record", registry, empty_as=empty_as)
-            rows = stage(flat, path=path)
-            if not rows.isEmpty():
-                shaped, _ = process_records(rows, run_ts, cdc_field=cdc_field, renames=renames, catalog=catalog)
-                commit(shaped, target, name, number)
-        finally:
-            release(spark, path)
+        # Staged already: finding types and writing read it, not the landed text.
+        rows = flatten_known(batch, "record", registry, empty_as=empty_as)
+        if not rows.isEmpty():
+            shaped, _ = process_records(rows, run_ts, cdc_field=cdc_field, renames=renames, catalog=catalog)
+            commit(shaped, target, name, number)
 
     query = lines.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
