@@ -254,9 +254,7 @@ def three_way_backfill(
     # Staged once: four results are taken from it.  With a day to go by, digests say where keys need to be compared.
     compared = stage(compare_days(rows, texts, [key], day, target_day) if day else compare_keys(rows, texts, [key]), "compared")
     missing, extra = keys_found(compared, SOURCE_ONLY), keys_found(compared, TARGET_ONLY)
-    # What is appended keeps the source's own type of the key.
     to_backfill = restrict_to_keys(rows, missing, [key], null_safe=True)
-    to_backfill = to_backfill.withColumn(key, F.col(key).cast(source.schema[key].dataType))
     if reports:
         tables.write_report(missing, f"{reports}/not_in_data_lake")
         tables.write_report(extra, f"{reports}/not_in_source")

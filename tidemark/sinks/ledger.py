@@ -160,12 +160,17 @@ def _write(rows: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def _folders(path: str, batch: str, settings: Settings) -> str:
+    """The folders of one batch's rows, as a glob pattern."""
+    return "/".join([_at(path), *(f"{c}=*" for c in settings.partition_by), f"{BATCH}={batch}"])
+
+
 def _keep_facts(spark: SparkSession, path: str, batch: str, settings: Settings, schema: T.StructType, facts: int) -> tuple[int, str | None]:
     """(rows, latest change) of one batch; its days and figures are kept.  All from the files just written, and no others.
 
     What a task that was run again would count twice while writing is counted once here.
     """
-    own = f"{_at(path)}/{'/'.join('*' for _ in settings.partition_by)}/{BATCH}={batch}"
+    own = _folders(path, batch, settings)
     if not records.found(spark, own):
         return 0, None
     rows = spark.read.schema(schema).option("basePath", path).parquet(own)
@@ -205,9 +210,9 @@ def commit(
     rows = fitted(df, known.schema, partition_by)
     schema = merged(known.schema, rows.schema, partition_by)
     begun = f"{_at(path)}/_begun/{batch}"
-    depth = "/".join("*" for _ in partition_by)
+    own = _folders(path, batch, known.settings)
     if records.exists(spark, begun):
-        records.delete(spark, f"{_at(path)}/{depth}/{BATCH}={batch}")
+        records.delete(spark, own)
     records.mark(spark, begun)
     _write(rows.withColumn(BATCH, F.lit(batch)).hint("rebalance", *partition_by), path, (*partition_by, BATCH))
     facts, written = known.facts, schema
@@ -220,7 +225,7 @@ def commit(
             facts = now.facts
             _keep_facts(spark, path, batch, known.settings, written, facts)
         if after is not None and now.number != after:
-            records.delete(spark, f"{_at(path)}/{depth}/{BATCH}={batch}")
+            records.delete(spark, own)
             for kind in ("days", "figures"):
                 records.delete(spark, f"{_at(path)}/_{kind}-*/{BATCH}={batch}")
             records.delete(spark, begun)
