@@ -205,13 +205,14 @@ def _in_order(pairs: list[tuple[int, int, int]], width: int) -> tuple[int, list[
     return top, chosen[::-1]
 
 
-def align(page: Tree, template: Tree) -> list[int]:
-    """Simple tree matching: for each node of `page` its node of `template`, or -1.
+def align(page: Tree | str, template: Tree | str) -> list[int]:
+    """Simple tree matching: for each node of `page` its node of `template`, or -1; trees may be JSON text.
 
     Two nodes match if their labels do and their parents match; of their children those are
     matched that, keeping order on both sides, give most matched nodes below.  Pairs that
     can match are listed from the root down and scored from the leaves up.
     """
+    page, template = (json.loads(t) if isinstance(t, str) else t for t in (page, template))
     if page == template:
         return list(range(len(page)))
     below_a, below_b = _children(page), _children(template)
