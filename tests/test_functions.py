@@ -134,6 +134,19 @@ def test_clean_json_after_any_number_of_backslashes(spark):
     assert all(r.t == ("x" + "\\" * (r.n - 1) + " y" if r.n % 2 else "x" + "\\" * r.n + "ny") for r in found)
 
 
+def test_clean_json_splits_a_text_once(spark):
+    """Not once more for each of its parts: a record of many strings is read in one pass."""
+    import json
+
+    from tidemark.functions.text import clean_json
+
+    record = {f"a  {i}": f"x  {i}\n\ty" for i in range(2000)}
+    df = spark.createDataFrame([(json.dumps(record),), (None,), ("a  b",)], "t string").select(clean_json(F.col("t")).alias("t"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    kept, missing, bare = (r.t for r in df.collect())
+    assert json.loads(kept) == {k: v.replace("  ", " ").replace("\n\t", " ") for k, v in record.items()} and missing is None and bare == "a b"
+
+
 def test_chunks_keep_fractions_of_a_second(spark):
     from datetime import datetime
 

@@ -27,9 +27,8 @@ def clean_json(text: Column) -> Column:
     structure and strings, and a string that a colon follows is a key.
     """
     plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit(BACKSLASH)), F.lit('\\"'), F.lit(QUOTE))
-    parts = F.split(plain, '"', -1)
 
-    def cleaned(part: Column, at: Column) -> Column:
+    def cleaned(part: Column, at: Column, parts: Column) -> Column:
         value = part
         for escape in ("\\n", "\\r", "\\t"):
             value = F.replace(value, F.lit(escape), F.lit(" "))
@@ -37,7 +36,9 @@ def clean_json(text: Column) -> Column:
         # Text without quotes may be what stood between them.
         return F.when(is_value | (F.size(parts) == 1), F.replace(value, F.lit("  "), F.lit(" "))).otherwise(part)
 
-    whole = F.array_join(F.transform(parts, cleaned), '"')
+    # The parts are an argument, not an expression: else each of them would have the text made and split anew.
+    split = F.array(F.split(plain, '"', -1))
+    whole = F.get(F.transform(split, lambda parts: F.array_join(F.transform(parts, lambda part, at: cleaned(part, at, parts)), '"')), 0)
     return F.replace(F.replace(whole, F.lit(QUOTE), F.lit('\\"')), F.lit(BACKSLASH), F.lit("\\\\"))
 
 
