@@ -181,6 +181,25 @@ def test_shares_agree_with_plain_counts(spark):
     assert wanted and found.keys() == wanted.keys() and all(abs(found[k] - wanted[k]) < 1e-9 for k in wanted)
 
 
+def test_only_wanted_terms_are_counted(spark):
+    """Few of the terms nobody asked for pass the filter on terms, and a task counts a term once for all its batches."""
+    wanted = [f"wanted{i}" for i in range(12_000)] + ["İzmir".lower(), "straße"]
+    table = pii.wanted_buckets(spark.createDataFrame([(w,) for w in wanted], "term string"))
+    assert all(pii.is_wanted(w, table) for w in wanted)
+    assert sum(pii.is_wanted(f"other{i}", table) for i in range(20_000)) < 200
+    assert not any(pii.wanted_buckets(spark.createDataFrame([], "term string")))
+    docs = spark.createDataFrame([(f"wanted{i % 7} wanted{i % 7} other{i}",) for i in range(3000)], "text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        found = pii._document_frequencies(docs, table).collect()
+        some = pii._document_frequencies(docs, table, most=3).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for rows in (found, some):
+        counts = {r["term"]: r["df_term"] for r in rows}
+        assert {w: counts[w] for w in wanted[:7]} == {f"wanted{i}": len(range(i, 3000, 7)) for i in range(7)}
+
+
 def test_chance_discloses_nothing(spark):
     """An entity on a third of all documents, and many words that are seen three to five times."""
     rng = np.random.default_rng(12)

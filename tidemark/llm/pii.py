@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged
 
 KINDS = ("email", "ip", "card", "phone")
-BUCKETS = 1 << 16
+# Of the filter on terms: bits of 512 pieces of 4 KB, whatever the number of terms.
+BUCKETS, PIECE = 1 << 24, 1 << 15
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DIGITS = re.compile(r"[0-9]+")
@@ -141,14 +142,21 @@ def bucket_of(term: str) -> int:
 
 
 def wanted_buckets(terms: DataFrame) -> bytes:
-    """Which of the 65,536 buckets hold a term of `terms`: one byte each, whatever the number of terms."""
-    bucket = F.crc32(F.encode("term", "UTF-8")).bitwiseAND(BUCKETS - 1)
-    table = bytearray(BUCKETS)
-    for r in terms.select(bucket.alias("bucket")).distinct().collect():
-        table[r["bucket"]] = 1
+    """Which of the buckets hold a term of `terms`, a bit each; tasks gather the bits."""
+    bucket = F.crc32(F.encode("term", "UTF-8")).bitwiseAND(BUCKETS - 1).alias("bucket")
+    pieces = terms.select(bucket).groupBy(F.shiftright("bucket", PIECE.bit_length() - 1).alias("piece"))
+    table = bytearray(BUCKETS // 8)
+    for r in pieces.agg(F.bitmap_construct_agg(F.col("bucket").bitwiseAND(PIECE - 1)).alias("bits")).collect():
+        table[r["piece"] * PIECE // 8 : (r["piece"] + 1) * PIECE // 8] = r["bits"]
     return bytes(table)
 
 
+def is_wanted(term: str, wanted: bytes) -> bool:
+    """Whether the term's bucket is among `wanted`: always for a wanted term, seldom for any other."""
+    bucket = bucket_of(term)
+    return bool(wanted[bucket >> 3] >> (bucket & 7) & 1)
+
+
 PAIRS = "uid long, entity string, term string, mark long"
 
 
@@ -166,7 +174,7 @@ def _pairs(common: DataFrame, wanted: bytes | None = None) -> DataFrame:
             for uid, entities, base, mark, text in zip(*(batch.column(c).to_pylist() for c in ("uid", "entities", "base", "mark", "text"))):
                 terms = sorted({w for _, _, w in words_outside(text, _spans(base))})
                 if wanted is not None:
-                    terms = [w for w in terms if wanted[bucket_of(w)]]
+                    terms = [w for w in terms if is_wanted(w, wanted)]
                 for name in entities:
                     held[0] += [uid] * len(terms)
                     held[1] += [name] * len(terms)
@@ -180,16 +188,24 @@ def _pairs(common: DataFrame, wanted: bytes | None = None) -> DataFrame:
     return common.select("uid", "entities", "base", F.xxhash64("text").alias("mark"), "text").mapInArrow(pair, PAIRS)
 
 
-def _document_frequencies(docs: DataFrame, wanted: bytes) -> DataFrame:
-    """term, df_term over all documents, of terms in `wanted` buckets; combined per batch before the shuffle."""
+def _document_frequencies(docs: DataFrame, wanted: bytes, most: int = 1 << 17) -> DataFrame:
+    """term, df_term over all documents, of terms in `wanted` buckets; combined per task before the shuffle, some `most` terms at a time."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+
+        def flush() -> pa.RecordBatch:
+            counts = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+            seen.clear()
+            return counts
+
         for batch in batches:
-            seen: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 if text:
-                    seen.update(w for w in terms_of(text) if wanted[bucket_of(w)])
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+                    seen.update(w for w in terms_of(text) if is_wanted(w, wanted))
+                if len(seen) >= most:
+                    yield flush()
+        yield flush()
 
     counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "term string, n long")
     return counted.groupBy("term").agg(F.sum("n").alias("df_term"))
