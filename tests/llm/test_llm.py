@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import importlib
 import re
 import zlib
 
@@ -203,6 +204,31 @@ def test_near_empty(empty, docs):
     assert near.without_near_copies(docs).columns == docs.columns
 
 
+def test_a_path_gives_one_row_to_what_is_compared(spark, monkeypatch):
+    """However deep the nodes are that branch on; before, a row came from each of a path's levels."""
+    base = [f"w{i}" for i in range(30)]
+    texts = [" ".join(w if i % 4 else f"own{k}_{i}" for i, w in enumerate(base)) for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, meeting = [], near._meeting
+    monkeypatch.setattr(near, "_meeting", lambda rows, nodes, s: found.append(rows) or meeting(rows, nodes, s))
+    s = near.Settings(words=1, small=4)
+    assert near.near_components(docs, s).filter("kept").count() == 40
+    assert found[0].count() and all(rows.groupBy("id").count().agg({"count": "max"}).first()[0] in (None, *range(s.trees + 1)) for rows in found)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
+def test_few_links_take_no_rounds(spark, monkeypatch):
+    module = importlib.import_module("tidemark.llm.components")
+    tables, staged = [], module.staged
+    monkeypatch.setattr(module, "staged", lambda df, name: tables.append(name) or staged(df, name))
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long").repartition(4)
+    wanted = {i: 0 for i in range(41)}
+    assert {r["node"]: r["component"] for r in components(links).collect()} == wanted and len(tables) == 2
+    monkeypatch.setattr(module, "EDGES", 5)
+    assert {r["node"]: r["component"] for r in components(links).collect()} == wanted
+    assert components(links.limit(0)).count() == 0
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     assert {r["node"]: r["component"] for r in components(links).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,6 +21,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """What is written meanwhile goes to Python in batches of at most `rows` rows, so that tasks hold few whole texts at a time."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def keeping_columns(*core: str) -> Callable:
     """Decorates an operator from rows to rows: it sees the columns of `core` and one more that holds all others.
 

@@ -11,33 +11,44 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged
 
 
+# Edges that a task turns into stars at a time, and that one task may finish.
+EDGES = 100_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (the smallest node of it) for the nodes of `links` (a, b), which have one orderable type.
 
     Large-star hangs each node's larger neighbours on its smallest one, small-star its
     smaller ones; they alternate until only stars are left, in about the
-    logarithm of the longest path's rounds.  Before that, each task turns the edges it
-    has read into stars, which shortens paths without a shuffle.  Edges stay in staged tables.
+    logarithm of the longest path's rounds.  Before each round, tasks of some `EDGES`
+    edges turn theirs into stars, which shortens paths without a shuffle; so few
+    edges that one such task reads them all are then done.  Edges stay in staged tables.
     """
     a, b = F.col("a"), F.col("b")
-    given = staged(links.filter(a != b).select("a", "b"), "links")
-    kind = given.schema["a"].dataType.simpleString()
-    local = given.mapInArrow(_contracted, f"a {kind}, b {kind}")
-    edges = staged(local.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "links")
-    while not _stars(edges):
+    edges, done = _shortened(staged(links.filter(a != b).select("a", "b"), "links"))
+    while not done:
         both = edges.union(edges.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("_least")).select("a", F.least("a", "_least").alias("_least"))
         large = both.join(least, "a").filter(b > a).select(b.alias("a"), F.col("_least").alias("b")).filter(a != b)
         large = staged(large.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "links")
         least = large.groupBy("a").agg(F.min("b").alias("_least"))
         small = large.join(least, "a").select(b.alias("a"), F.col("_least").alias("b")).union(least.select("a", F.col("_least").alias("b")))
-        edges = staged(small.filter(a != b).distinct(), "links")
+        edges, done = _shortened(staged(small.filter(a != b).distinct(), "links"))
     nodes = edges.select(a.alias("node"), b.alias("component"))
     return nodes.union(edges.select(b, b).distinct())
 
 
+def _shortened(edges: DataFrame) -> tuple[DataFrame, bool]:
+    """The staged `edges` as stars within tasks, and whether only stars are left."""
+    tasks = max(1, -(-edges.count() // EDGES))
+    kind = edges.schema["a"].dataType.simpleString()
+    local = edges.coalesce(tasks).mapInArrow(_contracted, f"a {kind}, b {kind}")
+    local = staged(local if tasks == 1 else local.distinct(), "links")
+    return local, tasks == 1 or _stars(local)
+
+
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The edges of one task as stars, some 100,000 edges at a time."""
+    """The edges of one task as stars, each node on the smallest one, some `EDGES` at a time."""
     top: dict = {}
 
     def root(x):
@@ -62,7 +73,7 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 low, high = (x, y) if x < y else (y, x)
                 top[high] = low
         seen += batch.num_rows
-        if seen >= 100_000:
+        if seen >= EDGES:
             yield flush()
             seen = 0
     if top:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keeping_columns, staged, staying
+from tidemark.llm.common import keeping_columns, small_batches, staged, staying
 from tidemark.llm.components import components
 
 _RANDOM = np.random.default_rng(20240101)
@@ -285,8 +285,8 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings, more: DataFrame
     component in several lots.  Rows whose first node has one component have nobody to meet.
 
     The nodes of all levels are counted at once, by (node, component), so a large group is one
-    count a node.  Fewer rows lie outside the largest component the deeper a node is: the
-    nodes to compare are those that may be while their parent may not.  Levels only say
+    count a node.  Fewer rows lie outside the largest component the deeper a node is: a
+    path has one node at which it ends, and gives one row to what is compared there.  Levels only say
     who meets whom, by 64-bit hashes of classes and components; what pairs are
     weighed by is joined to that once, for all of them.
     """
@@ -300,19 +300,20 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings, more: DataFrame
     ends = rows.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     rows = staged(rows.join(ends.filter("least < most").select("node"), "node", "left_semi"), "near-paths")
     steps = _steps(rows, s)
-    shares = steps.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"), F.any_value("level").alias("level"), F.any_value("above").alias("above"))
-    sizes = shares.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"), F.any_value("level").alias("level"), F.any_value("above").alias("above"))
-    sizes = sizes.select("node", "level", "above", "all", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("rest"))
+    shares = steps.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"), F.any_value("level").alias("level"))
+    sizes = shares.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"), F.any_value("level").alias("level"))
+    sizes = sizes.select("node", "level", "all", F.col("top.component").alias("largest"), (F.col("all") - F.col("top.n")).alias("rest"))
     sizes = staged(sizes.filter("rest > 0"), "near-nodes")
     branches = (F.col("rest") > s.small) & (F.col("level") < s.levels)
-    deep = sizes.filter(branches)
-    ready = sizes.filter(~branches)
-    below = ready.join(deep.select(F.col("node").alias("above")), "above", "left_semi").select(ready.columns)
-    ready = staged(ready.filter(F.col("level") == s.first_level).unionByName(below), "near-ready")
-    meeting = _meeting(steps.select("id", "component", "node"), ready.drop("level", "above"), s)
+    deep = sizes.filter(branches).select("node")
+    # Each path ends at one node: the first that does not branch on.
+    passed = steps.filter(F.col("level") > s.first_level).join(deep.withColumnRenamed("node", "above"), "above", "left_semi")
+    at_first = rows.select("id", "component", F.lit(s.first_level).alias("level"), "node")
+    ends = staged(at_first.unionByName(passed.select(at_first.columns)).join(deep, "node", "left_anti").select(at_first.columns), "near-ends")
+    meeting = _meeting(ends.drop("level"), sizes.filter(~branches).drop("level"), s)
     pairs = staged(_compared(meeting, owned, s).distinct(), "near-pairs")
-    further = F.element_at(F.array(*(F.lit(s.log_miss(level + 1) - s.log_miss(level)) for level in range(s.first_level, s.levels))), F.col("level") - s.first_level + 1)
-    gone = steps.select("id", "node").join(deep.select("node", further.alias("by")), "node").groupBy("id").agg(F.sum("by").alias("by"))
+    missed = F.element_at(F.array(*(F.lit(s.log_miss(level) - s.log_miss(s.first_level)) for level in range(s.first_level, s.levels + 1))), F.col("level") - s.first_level + 1)
+    gone = ends.filter(F.col("level") > s.first_level).groupBy("id").agg(F.sum(missed).alias("by"))
     before = F.lit(0.0) if more is None else F.col("lost")
     lost = (before + s.trees * s.log_miss(s.first_level) + F.col("by")).alias("lost")
     owing = owned.join(gone, "id").select("cls", lost).filter(F.col("lost") > math.log(s.miss))
@@ -460,6 +461,19 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     is component_id.  An empty table gives an empty result.
     """
     s = settings or Settings()
+    with small_batches(docs.sparkSession):
+        rows, nodes, labels = _labelled(docs, s)
+    full = rows.filter("cls IS NOT NULL")
+    owned = nodes.select("cls", F.col("first.doc_id").alias("least")).join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    least = owned.groupBy("component").agg(F.min("least").alias("component_id"))
+    ends = owned.join(least, "component").select("cls", "component_id")
+    linked = full.join(ends, "cls").select("doc_id", "n", "component_id", "mark")
+    alone = rows.filter("cls IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"), "mark")
+    return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "mark")
+
+
+def _labelled(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketched rows, their classes, and node and component of the classes with links; all of them staged."""
     rows = staged(sketched(docs, s), "near-rows")
     full = rows.filter("cls IS NOT NULL")
     nodes = full.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")).alias("first"), *(F.any_value(c).alias(c) for c in ("high", "low", "histogram")), F.max("n").alias("n"))
@@ -469,18 +483,15 @@ def near_components(docs: DataFrame, settings: Settings | None = None) -> DataFr
     turn, further = 0, None
     while True:
         pairs, owing = path_pairs(nodes, labels, s, further)
-        links = links.union(staged(confirmed(docs, nodes, pairs, s), "near-links"))
-        labels = staged(components(links), "near-labels")
+        links = staged(confirmed(docs, nodes, pairs, s), "near-links")
+        if not links.isEmpty():
+            # What was linked before are stars by now.
+            labels = staged(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "near-labels")
         if owing.isEmpty():
             break
         turn += 1
         further = staged(resigned(docs, nodes, owing, s, turn), "near-further")
-    owned = nodes.select("cls", F.col("first.doc_id").alias("least")).join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    least = owned.groupBy("component").agg(F.min("least").alias("component_id"))
-    ends = owned.join(least, "component").select("cls", "component_id")
-    linked = full.join(ends, "cls").select("doc_id", "n", "component_id", "mark")
-    alone = rows.filter("cls IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"), "mark")
-    return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "mark")
+    return rows, nodes, labels
 
 
 @keeping_columns("doc_id", "text")
