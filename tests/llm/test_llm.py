@@ -217,6 +217,58 @@ def test_a_path_gives_one_row_to_what_is_compared(spark, monkeypatch):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
 
 
+def test_first_texts_are_shuffled_once(spark, monkeypatch):
+    """By the key they are found by; before, once more by class. Null ids and rows that come twice give a class one text."""
+    plans, staged = {}, near.staged
+    monkeypatch.setattr(near, "staged", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()) and None or staged(df, name))
+    rows = [(1, "a b c"), (1, "a b c"), (None, "d e f"), (None, "d e f"), (2, "g h i"), (1, "other text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    s = near.Settings(words=2)
+    nodes = near.sketched(docs, s).groupBy("cls").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    wanted = nodes.join(near._texts(docs).filter("text <> 'g h i'").select(F.col("mark").alias("of")).distinct(), F.col("first.mark") == F.col("of")).select("cls")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sorted(r["text"] for r in near._first_texts(docs, nodes, wanted, s).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == ["a b c", "d e f", "other text"]
+    assert "SortMergeJoin" in plans["near-texts"] and "hashpartitioning(cls" not in plans["near-texts"] and "hashpartitioning(of#" in plans["near-texts"]
+    assert plans["near-texts"].count("Exchange hashpartitioning") == 3
+
+
+def test_the_filter_grows_with_what_is_wanted(spark):
+    """All that is wanted passes and few others, however many are wanted; before, all passed beyond the number of its buckets."""
+    rows = spark.range(40_000).select("id", F.when(F.col("id") != 39_999, F.xxhash64("id")).alias("hash"))
+    for n in (0, 1, 4000):
+        passed, rest = near.among(rows, F.col("hash"), rows.filter(F.col("id") < n).select("hash"), near.Settings(buckets=64))
+        ids = {r["id"] for r in passed.collect()}
+        assert ids >= set(range(n)) and len(ids) <= n + 40_000 // 24
+        assert {r["id"] for r in rest.collect()} == set(range(40_000)) - ids
+
+
+def test_only_crowded_nodes_are_followed_down(spark):
+    s = near.Settings(small=4)
+    rows = spark.createDataFrame([(1, 1, 7, b"abcdefghijkl", 4), (2, 2, 8, b"abcdefghijkl", 5)], "id long, component long, node long, left binary, crowd long")
+    levels = {}
+    for r in near._steps(rows, s).collect():
+        levels.setdefault(r["id"], []).append(r["level"])
+    assert {k: sorted(v) for k, v in levels.items()} == {1: [2], 2: [2, 3, 4, 5, 6, 7, 8]}
+
+
+def test_profiles_go_only_to_rows_with_a_partner(spark, monkeypatch):
+    """Many share a first node with texts unlike theirs; before, each took its whole profile along."""
+    joined, hopeful = [], near._hopeful
+    monkeypatch.setattr(near, "_hopeful", lambda meeting, owned, s: joined.append((meeting, hopeful(meeting, owned, s))) or joined[-1][1])
+    # A long text's few common words are often the smallest of its trees.
+    texts = [" ".join(["same"] * 3 + [f"w{i}_{k}" for k in range(3)]) for i in range(60)]
+    texts += [" ".join(f"p{k}" for k in range(50)) + f" end{i}" for i in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = near.near_components(docs, near.Settings(words=1, first_trees=0, trees=12))
+    assert found.filter("NOT kept").select("doc_id", "component_id").collect() == [(61, 60)]
+    met, kept = joined[0][0].count(), joined[0][1].count()
+    assert 0 < kept < met / 3
+
+
 def test_few_links_take_no_rounds(spark, monkeypatch):
     module = importlib.import_module("tidemark.llm.components")
     tables, staged = [], module.staged

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import keeping_columns, small_batches, staged, staying
@@ -29,8 +29,9 @@ _WHITE[[32, 9, 10, 11, 12, 13]] = True
 class Settings:
     """words a shingle; percent of similarity to link at; independent trees; levels of a tree; the level whose
     nodes are looked at first; rows that a node is compared exhaustively from; the estimate from which a pair may be confirmed on its full sets; how many standard
-    deviations more than the threshold allows two sets may seem to differ by; trees of the first round; buckets of the
-    filter on texts that are fetched; the share of pairs at the threshold that the trees may miss."""
+    deviations more than the threshold allows two sets may seem to differ by; trees of the first round; the least buckets of the
+    filters on what is fetched; the share of pairs at the threshold that the trees may miss; tokens of a row's brief, and the estimate
+    by briefs from which two rows' profiles are compared."""
 
     words: int = 5
     percent: int = 80
@@ -43,6 +44,8 @@ class Settings:
     first_trees: int = 4
     buckets: int = 1 << 18
     miss: float = 2e-4
+    brief: int = 32
+    brief_estimate: float = 0.35
 
     @property
     def tokens(self) -> int:
@@ -286,19 +289,23 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings, more: DataFrame
 
     The nodes of all levels are counted at once, by (node, component), so a large group is one
     count a node.  Fewer rows lie outside the largest component the deeper a node is: a
-    path has one node at which it ends, and gives one row to what is compared there.  Levels only say
+    path has one node at which it ends, and gives one row to what is compared there.  A first node of
+    no more than `small` rows never branches, so its deeper levels are not counted.  Levels only say
     who meets whom, by 64-bit hashes of classes and components; what pairs are
-    weighed by is joined to that once, for all of them.
+    weighed by is joined to that once, for all rows whose briefs leave them somebody to be compared with.
     """
-    owned = nodes.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    columns = [F.xxhash64("cls").alias("id"), "cls", F.coalesce("component", "cls").alias("component"), "n", "high", "low", "histogram"]
+    owned = nodes if more is None else among(nodes, F.xxhash64("cls"), more.select(F.xxhash64("cls").alias("hash")), s)[0].join(more, "cls")
+    # Only rows that may have a label are shuffled to find it.
+    linked, alone = among(owned, F.xxhash64("cls"), labels.select(F.xxhash64("node").alias("hash")), s)
+    linked = linked.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    columns = [F.xxhash64("cls").alias("id"), "cls", "component", "n", "high", "low", "histogram"]
     if more is not None:
-        owned, columns = owned.join(more, "cls"), [*columns, "lost", "path_high", "path_low"]
-    owned = staged(owned.select(*columns), "near-owned")
+        columns += ["lost", "path_high", "path_low"]
+    owned = staged(linked.unionByName(alone.withColumn("component", F.col("cls"))).select(*columns), "near-owned")
     chosen = owned if more is None else owned.select("id", "component", F.col("path_high").alias("high"), F.col("path_low").alias("low"))
     rows = paths(chosen, s)
-    ends = rows.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    rows = staged(rows.join(ends.filter("least < most").select("node"), "node", "left_semi"), "near-paths")
+    ends = rows.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("crowd"))
+    rows = staged(rows.join(ends.filter("least < most").select("node", "crowd"), "node"), "near-paths")
     steps = _steps(rows, s)
     shares = steps.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"), F.any_value("level").alias("level"))
     sizes = shares.groupBy("node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("top"), F.any_value("level").alias("level"))
@@ -307,9 +314,12 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings, more: DataFrame
     branches = (F.col("rest") > s.small) & (F.col("level") < s.levels)
     deep = sizes.filter(branches).select("node")
     # Each path ends at one node: the first that does not branch on.
+    crowded = F.col("crowd") > s.small
     passed = steps.filter(F.col("level") > s.first_level).join(deep.withColumnRenamed("node", "above"), "above", "left_semi")
-    at_first = rows.select("id", "component", F.lit(s.first_level).alias("level"), "node")
-    ends = staged(at_first.unionByName(passed.select(at_first.columns)).join(deep, "node", "left_anti").select(at_first.columns), "near-ends")
+    at_first = rows.select("id", "component", F.lit(s.first_level).alias("level"), "node", "crowd")
+    lasting = at_first.filter(crowded).drop("crowd")
+    lasting = lasting.unionByName(passed.select(lasting.columns)).join(deep, "node", "left_anti").select(lasting.columns)
+    ends = staged(at_first.filter(~crowded).drop("crowd").unionByName(lasting), "near-ends")
     meeting = _meeting(ends.drop("level"), sizes.filter(~branches).drop("level"), s)
     pairs = staged(_compared(meeting, owned, s).distinct(), "near-pairs")
     missed = F.element_at(F.array(*(F.lit(s.log_miss(level) - s.log_miss(s.first_level)) for level in range(s.first_level, s.levels + 1))), F.col("level") - s.first_level + 1)
@@ -321,14 +331,15 @@ def path_pairs(nodes: DataFrame, labels: DataFrame, s: Settings, more: DataFrame
 
 
 def _steps(rows: DataFrame, s: Settings) -> DataFrame:
-    """id, component, level, node, above (the node's parent): the nodes of each path, from the first level on."""
+    """id, component, level, node, above (the node's parent): the nodes of each path, from the first level on, and only that where its `crowd` is small."""
     chain = rows.withColumn(f"_{s.first_level}", F.col("node"))
     for level in range(s.first_level + 1, s.levels + 1):
         token = F.substring("left", 2 * (level - s.first_level) - 1, 2)
         chain = chain.withColumn(f"_{level}", F.xxhash64(f"_{level - 1}", token))
     levels = range(s.first_level, s.levels + 1)
-    steps = F.array(*(F.struct(F.lit(level).alias("level"), F.col(f"_{level}").alias("node"), F.col(f"_{max(level - 1, s.first_level)}").alias("above")) for level in levels))
-    return chain.select("id", "component", F.inline(steps))
+    steps = [F.struct(F.lit(level).alias("level"), F.col(f"_{level}").alias("node"), F.col(f"_{max(level - 1, s.first_level)}").alias("above")) for level in levels]
+    every = chain.select("id", "component", "crowd", F.inline(F.array(*steps)))
+    return every.filter((F.col("level") == s.first_level) | (F.col("crowd") > s.small)).drop("crowd")
 
 
 def _meeting(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
@@ -347,56 +358,130 @@ def _meeting(labelled: DataFrame, ready: DataFrame, s: Settings) -> DataFrame:
     return members.withColumn("piece", F.col("piece").cast("long")).unionByName(asking.select("node", "id", F.col("piece").cast("long").alias("piece"), F.col("lot").cast("int").alias("lot"), "asks"))
 
 
+def _groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """The rows, of `columns`, of each node, piece and lot; they come in order."""
+    key, group = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("node", "piece", "lot", *columns))):
+            if row[:3] != key:
+                if group:
+                    yield group
+                key, group = row[:3], []
+            group.append(row[3:])
+    if group:
+        yield group
+
+
+def _bytes(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+
+
+def _sizes_allow(n: list[int], m: list[int], s: Settings) -> np.ndarray:
+    """Sets whose sizes differ too much cannot reach the threshold."""
+    x, y = np.array(n, np.int64)[:, None], np.array(m, np.int64)[None]
+    return 100 * np.minimum(x, y) >= s.percent * np.maximum(x, y)
+
+
+_AT = ["node", "piece", "lot"]
+
+
+def _hopeful(meeting: DataFrame, owned: DataFrame, s: Settings) -> DataFrame:
+    """The rows of `meeting` that meet at least one of another component with a brief like theirs.
+
+    A brief is a row's last `brief` bytes of tokens; two sets at the threshold agree in
+    too few of 32 of them less than once in 10^7.  Rows are told, not pairs, so these are never more than came.
+    """
+    width = min(s.brief, s.tokens)
+    brief = owned.select("id", F.xxhash64("component").alias("component"), "n", F.substring("low", s.tokens - width + 1, width).alias("brief"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_())
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 5, kinds)], [*_AT, "id", "asks"])
+
+        kept = []
+        for group in _groups(batches, (*_AT, "id", "asks", "component", "n", "brief")):
+            asks, others = ([r for r in group if r[4] == a] for a in (True, False))
+            if not asks or not others:
+                continue
+            x, y = (_bytes([r[7] for r in part]) for part in (asks, others))
+            c, d = (np.array([r[5] for r in part], np.int64) for part in (asks, others))
+            hope = (c[:, None] != d[None]) & _sizes_allow([r[6] for r in asks], [r[6] for r in others], s) & (similarity(x, y) >= s.brief_estimate)
+            kept += [part[i][:5] for part, axis in ((asks, 1), (others, 0)) for i in np.flatnonzero(hope.any(axis=axis))]
+            if len(kept) > 10_000:
+                yield batch_of(kept)
+                kept = []
+        yield batch_of(kept)
+
+    return meeting.join(brief, "id").repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(keep, "node long, piece long, lot int, id long, asks boolean")
+
+
 def _compared(meeting: DataFrame, owned: DataFrame, s: Settings) -> DataFrame:
     """The pairs of different components that meet and may reach the threshold."""
+    meeting = staged(_hopeful(meeting, owned, s), "near-meeting")
     # Profiles go only to the rows that are compared.
-    meeting = meeting.join(owned.select("id", "cls", "component", "n", F.concat("low", "histogram").alias("profile")), "id")
+    compared = among(owned, F.col("id"), meeting.select(F.col("id").alias("hash")), s)[0]
+    meeting = meeting.join(compared.select("id", "cls", "component", "n", F.concat("low", "histogram").alias("profile")), "id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
-
-        def flush(rows: list[tuple]) -> tuple[list[bytes], list[bytes]]:
-            asks = [r for r in rows if r[3]]
-            others = [r for r in rows if not r[3]]
+        a, b = [], []
+        for group in _groups(batches, ("cls", "component", "profile", "asks", "n")):
+            asks, others = ([r for r in group if r[3] == asked] for asked in (True, False))
             if not asks or not others:
-                return [], []
-            x, y = (np.frombuffer(b"".join(r[2] for r in part), np.uint8).reshape(len(part), -1) for part in (asks, others))
-            # Sets whose sizes differ too much cannot reach the threshold.
+                continue
+            x, y = (_bytes([r[2] for r in part]) for part in (asks, others))
             n, m = (np.array([r[4] for r in part], np.int64) for part in (asks, others))
-            sizes = 100 * np.minimum(n[:, None], m[None]) >= s.percent * np.maximum(n[:, None], m[None])
-            i, j = np.nonzero(sizes & (similarity(x[:, : s.tokens], y[:, : s.tokens]) >= s.estimate))
+            i, j = np.nonzero(_sizes_allow(n, m, s) & (similarity(x[:, : s.tokens], y[:, : s.tokens]) >= s.estimate))
             step = 1 << 14
             reach = [may_reach(x[i[k : k + step], s.tokens :], y[j[k : k + step], s.tokens :], n[i[k : k + step]], m[j[k : k + step]], s) for k in range(0, len(i), step)]
             found = [(p, q) for p, q, r in zip(i, j, np.concatenate(reach) if reach else ()) if r and asks[p][1] != others[q][1]]
-            return [asks[p][0] for p, _ in found], [others[q][0] for _, q in found]
+            a += [asks[p][0] for p, _ in found]
+            b += [others[q][0] for _, q in found]
+            if len(a) > 10_000:
+                yield _pairs(a, b)
+                a, b = [], []
+        yield _pairs(a, b)
 
-        for batch in batches:
-            a, b = [], []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("node", "piece", "lot", "cls", "component", "profile", "asks", "n"))):
-                if row[:3] != key:
-                    x, y = flush(group)
-                    a += x
-                    b += y
-                    key, group = row[:3], []
-                group.append(row[3:])
-            yield _pairs(a, b)
-        x, y = flush(group)
-        yield _pairs(x, y)
-
-    at = ["node", "piece", "lot"]
-    return meeting.repartition(*at).sortWithinPartitions(*at).mapInArrow(compare, "a binary, b binary")
+    return meeting.repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(compare, "a binary, b binary")
+
+
+# Buckets a hash of the filters on what is fetched, the most they have (16 MB of bits), and those of a piece.
+_SPARSE, _MOST, _PIECE = 32, 1 << 27, 1 << 15
+
+
+def among(rows: DataFrame, hashed: Column, wanted: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Of `rows`, those whose 64-bit hash may be one of `wanted` (hash), with all that are, and the rest; both unshuffled.
+
+    A filter with a bit a bucket grows with `wanted`, so that one in 32 of the others passes or
+    fewer; beyond 2^27 buckets more of them pass, and none is lost.
+    """
+    count = wanted.count()
+    buckets = min(_MOST, max(s.buckets, 1 << (_SPARSE * max(1, count) - 1).bit_length()))
+    bucket, piece = F.pmod(hashed, F.lit(buckets)), min(_PIECE, buckets)
+    bits = wanted.select(F.pmod("hash", F.lit(buckets)).alias("_bucket")).groupBy(F.floor(F.col("_bucket") / piece).alias("_piece"))
+    bits = bits.agg(F.bitmap_construct_agg(F.col("_bucket") % piece).alias("_bits"))
+    told = rows.withColumn("_bucket", bucket).withColumn("_piece", F.floor(F.col("_bucket") / piece)).join(F.broadcast(bits), "_piece", "left")
+    place = (F.col("_bucket") % piece).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    passes = F.col("_bits").isNotNull() & (F.getbit(byte, place % 8) == 1)
+    return tuple(told.filter(p).select(*rows.columns) for p in (passes, ~passes))
 
 
 def _first_texts(docs: DataFrame, nodes: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
     """cls, text: the texts of the classes' first documents.
 
-    Before texts are shuffled, a filter of at most `buckets` hash values leaves most others out.
+    Before texts are shuffled, a filter that grows with the classes leaves most others
+    out; texts meet their class and drop their repeats in one shuffle.
     """
+    # In a struct, nulls are equal.
+    at = F.struct("doc_id", "mark")
     wanted = staged(classes.join(nodes.select("cls", "first.doc_id", "first.mark"), "cls"), "near-wanted")
-    bucket = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(s.buckets)).alias("bucket")
-    near = _texts(docs).withColumn("bucket", bucket).join(F.broadcast(wanted.select(bucket).distinct()), "bucket", "left_semi")
-    same = near["doc_id"].eqNullSafe(wanted["doc_id"]) & (near["mark"] == wanted["mark"])
-    return staged(near.join(wanted, same).select("cls", "text").dropDuplicates(["cls"]), "near-texts")
+    near = among(_texts(docs), F.xxhash64("doc_id", "mark"), wanted.select(F.xxhash64("doc_id", "mark").alias("hash")), s)[0]
+    # By the key of `wanted`, by which the join has dealt its rows already.
+    wanted = wanted.select(at.alias("of"), "cls")
+    found = near.select(at.alias("at"), "text").join(wanted, F.col("at") == F.col("of"))
+    return staged(found.dropDuplicates(["of", "cls"]).select("cls", "text"), "near-texts")
 
 
 def resigned(docs: DataFrame, nodes: DataFrame, owing: DataFrame, s: Settings, turn: int) -> DataFrame:
